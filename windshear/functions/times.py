@@ -22,11 +22,12 @@ def hhmm_minutes(raw: Column | str, *, midnight_is_next_day: bool = False) -> Co
     00:00 (D2). With ``midnight_is_next_day`` the value ``2400`` gives 1440.
     """
     s = _col(raw)
-    padded = F.lpad(s, 4, "0")
-    hh = F.substring(padded, 1, 2).try_cast("int")
-    mm = F.substring(padded, 3, 2).try_cast("int")
-    valid = s.rlike(r"^[0-9]{1,4}$") & (hh < 24) & (mm < 60)
-    minutes = F.when(valid, hh * 60 + mm)
+    # Digits only (no sign, blank or trailing newline), so the integer reading
+    # equals the left-padded HHMM reading: 930 is 09:30, 5 is 00:05.
+    n = F.when(s.rlike(r"^[0-9]{1,4}\z"), s.try_cast("int"))
+    hh = F.floor(n / F.lit(100)).cast("int")
+    mm = n % 100
+    minutes = F.when((hh < 24) & (mm < 60), hh * 60 + mm)
     if midnight_is_next_day:
         minutes = minutes.when(s == "2400", F.lit(1440))
     return minutes.otherwise(F.lit(0))

@@ -21,7 +21,7 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimized plan, or None when unavailable."""
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(stats.sizeInBytes()))
     except Exception:  # e.g. Spark Connect, where the JVM plan is not reachable
         return None
 

@@ -116,8 +116,10 @@ def weather_raw(spark: SparkSession, sf_dir: str, *, descriptor_every: int | Non
     """
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     eid, ts, v = F.col("event_id"), F.col("ts"), F.col("value")
+    # Built from the wall-clock fields, so the text does not depend on the session zone.
     five = F.lpad(_text(F.floor(F.minute(ts) / 5) * 5), 2, "0")
-    stamp = F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:"), five, F.lit(":00Z"))
+    stamp = F.concat(_text(F.to_date(ts)), F.lit("T"), F.lpad(_text(F.hour(ts)), 2, "0"), F.lit(":"),
+                     five, F.lit(":00Z"))
     if descriptor_every:
         stamp = F.when(eid % descriptor_every != 0, stamp)
     cardinal = F.get(F.array(*[F.lit(d) for d in CARDINALS]), (eid % len(CARDINALS)).cast("int"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from windshear.schemas import MART
 
@@ -32,5 +33,5 @@ def write_mart(mart: DataFrame, path: str, *, mode: str = "overwrite") -> None:
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
     """The stored mart with its day column; filters reach the scan."""
-    schema = MART.add(DAY_COLUMN, "date")
+    schema = T.StructType(MART.fields + [T.StructField(DAY_COLUMN, T.DateType())])
     return spark.read.schema(schema).parquet(path)

@@ -34,6 +34,25 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int) -> DataFrame:
     return df
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give a fact input at least as many partitions as the cluster has cores.
+
+    A large input normally arrives in many files and is left alone; one that
+    arrives in fewer files than there are cores (a single file, or an
+    unsplittable one) would otherwise run every downstream broadcast join in
+    one task. The check reads the already listed file index, no job runs. The
+    round-robin repartition is deterministic, so recomputing a lost partition
+    is safe.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    try:
+        files = len(df.inputFiles())
+    except Exception:
+        return df
+    return df.repartition(want) if 0 < files < want else df
+
+
 def airport_zone_dim(airports: DataFrame, zones: DataFrame) -> DataFrame:
     """Airports left-joined with their time zone."""
     return airports.join(zones, on="iata_code", how="left")

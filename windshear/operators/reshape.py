@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,16 +23,20 @@ def compass_frame(spark: SparkSession, compass: Sequence[str] = COMPASS) -> Data
 
 def zero_fill_compass(counts: DataFrame, compass: Sequence[str] = COMPASS) -> DataFrame:
     """R1 + U2 (+ C18): index every direction and add ``(dir, '00-05', 0)`` for
-    each compass point with no count, so all 16 appear."""
-    indexed = counts.select("card_dir", "binned_wind", "count",
-                            compass_index("card_dir", compass).alias("index_dir"))
-    missing = (
-        compass_frame(counts.sparkSession, compass)
-        .join(counts.select("card_dir"), on="card_dir", how="left_anti")
-        .select("card_dir", F.lit(ZERO_FILL_BIN).alias("binned_wind"),
-                F.lit(0).cast("long").alias("count"), "index_dir")
-    )
-    return indexed.unionByName(missing)
+    each compass point with no count, so all 16 appear.
+
+    The counts are read once: the 16 filler rows are unioned in and a filler
+    survives only where its direction has no real row. The window partitions
+    hold at most one row per speed bin plus the filler.
+    """
+    real = counts.select("card_dir", "binned_wind", "count",
+                         compass_index("card_dir", compass).alias("index_dir"), F.lit(False).alias("_fill"))
+    fills = compass_frame(counts.sparkSession, compass).select(
+        "card_dir", F.lit(ZERO_FILL_BIN).alias("binned_wind"), F.lit(0).cast("long").alias("count"),
+        "index_dir", F.lit(True).alias("_fill"))
+    has_real = F.max(F.when(~F.col("_fill"), F.lit(1)).otherwise(F.lit(0))).over(Window.partitionBy("card_dir"))
+    both = real.unionByName(fills).withColumn("_has_real", has_real)
+    return both.where(~F.col("_fill") | (F.col("_has_real") == 0)).drop("_fill", "_has_real")
 
 
 def interruption_matrix(counts: DataFrame) -> DataFrame:

@@ -44,12 +44,32 @@ def _dim(spark, d):
     return etl.airport_dimension(fx.airport_raw(spark, d), fx.timezone_raw(spark, d))
 
 
+# DataFrames are immutable plans, so the shared bases are built once per
+# session and table folder; every action still executes them in full.
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _memo(spark, key, build):
+    k = (id(spark), spark.sparkContext.applicationId) + key
+    if k not in _PLANS:
+        _PLANS[k] = build()
+    return _PLANS[k]
+
+
+def _inputs(spark, d):
+    return (_memo(spark, (d, "flights"), lambda: fx.flight_raw(spark, d)),
+            _memo(spark, (d, "weather"), lambda: fx.weather_raw(spark, d)),
+            _memo(spark, (d, "airports"), lambda: fx.airport_raw(spark, d)),
+            _memo(spark, (d, "zones"), lambda: fx.timezone_raw(spark, d)))
+
+
 def _mart(spark, d, cfg=CFG, **kw):
-    return etl.build_mart(*fx.raw_inputs(spark, d), cfg, **kw)
+    return etl.build_mart(*_inputs(spark, d), cfg, **kw)
 
 
 def _weighted(spark, d, question):
-    return etl.weighted_mart(*fx.raw_inputs(spark, d), CFG, queries.QUESTION_ATTRS[question])
+    return _memo(spark, (d, "weighted", question),
+                 lambda: etl.weighted_mart(*_inputs(spark, d), CFG, queries.QUESTION_ATTRS[question]))
 
 
 # --- projections, filters, scalar steps -------------------------------------------------

@@ -341,6 +341,8 @@ def oracle() -> dict[str, str]:
     q["wind_rose_departure"] = _wind_rose("departure", LO, HI)
     q["wind_rose_arrival"] = _wind_rose("arrival", LO, HI)
     q["wind_rose_mart"] = _wind_rose("departure", LO, HI)
+    q["wind_rose_weighted"] = _wind_rose("departure", LO, HI)
+    q["crosswind_weighted"] = _crosswind("arrival", LO, HI)
     q["wind_rose_days"] = _wind_rose("arrival", DAY_LO, DAY_HI)
     q["airport_delay_departure"] = _delay_count("departure", LO, HI)
     q["airport_delay_arrival"] = _delay_count("arrival", LO, HI)

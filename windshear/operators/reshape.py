@@ -6,19 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from windshear.config import CANCEL_ROW_LABEL, COMPASS, DELAY_ROW_LABEL, ZERO_FILL_BIN
 from windshear.functions.labels import compass_index
 
 
 def compass_frame(spark: SparkSession, compass: Sequence[str] = COMPASS) -> DataFrame:
-    """The 16-point compass as a dimension: ``card_dir``, ``index_dir``."""
-    schema = T.StructType([
-        T.StructField("card_dir", T.StringType(), False),
-        T.StructField("index_dir", T.IntegerType(), False),
-    ])
-    return spark.createDataFrame([(d, i) for i, d in enumerate(compass)], schema)
+    """The 16-point compass as a dimension: ``card_dir``, ``index_dir``.
+
+    Built from literals on the JVM side (no Python rows, no Python worker).
+    """
+    points = F.posexplode(F.array(*[F.lit(d) for d in compass])).alias("index_dir", "card_dir")
+    return spark.range(1).select(points).select("card_dir", F.col("index_dir").cast("int").alias("index_dir"))
 
 
 def zero_fill_compass(counts: DataFrame, compass: Sequence[str] = COMPASS) -> DataFrame:

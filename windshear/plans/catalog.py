@@ -18,7 +18,7 @@ from windshear.functions.times import combine_date_clock, hhmm_to_clock
 from windshear.operators.filters import hub_filter
 from windshear.operators.joins import attach_airports, attach_weather
 from windshear.operators.projections import flight_columns, weather_columns
-from windshear.plans import etl, queries
+from windshear.plans import direct, etl, queries
 from windshear.sources import fixtures as fx
 from windshear.sources.sinks import as_json_lines
 
@@ -204,46 +204,59 @@ def q_interruption_class_any(spark, d):
 
 # --- the questions -----------------------------------------------------------------------
 
+def _q(spark, d):
+    """(flights, weather) prepared once per session and table folder."""
+    return _memo(spark, (d, "question_inputs"), lambda: direct.question_inputs(*_inputs(spark, d), CFG))
+
+
 def q_wind_rose_departure(spark, d):
-    return queries.wind_rose(_weighted(spark, d, "wind_rose"), "departure", LO, HI)
+    return direct.wind_rose(*_q(spark, d), "departure", LO, HI)
 
 
 def q_wind_rose_arrival(spark, d):
-    return queries.wind_rose(_weighted(spark, d, "wind_rose"), "arrival", LO, HI)
+    return direct.wind_rose(*_q(spark, d), "arrival", LO, HI)
 
 
 def q_airport_delay_departure(spark, d):
-    return queries.airport_delay_count(_weighted(spark, d, "airport_delay_count"), "departure", LO, HI)
+    return direct.airport_delay_count(*_q(spark, d), "departure", LO, HI)
 
 
 def q_airport_delay_arrival(spark, d):
-    return queries.airport_delay_count(_weighted(spark, d, "airport_delay_count"), "arrival", LO, HI)
+    return direct.airport_delay_count(*_q(spark, d), "arrival", LO, HI)
 
 
 def q_airport_delay_counterpart(spark, d):
-    return queries.airport_delay_count(_weighted(spark, d, "airport_delay_count"), "departure", LO, HI,
-                                       counterpart=True)
+    return direct.airport_delay_count(*_q(spark, d), "departure", LO, HI, counterpart=True)
 
 
 def q_crosswind_departure(spark, d):
-    return queries.crosswind_interruptions(_weighted(spark, d, "crosswind_interruptions"), "departure", LO, HI)
+    return direct.crosswind_interruptions(*_q(spark, d), "departure", LO, HI)
 
 
 def q_crosswind_arrival(spark, d):
-    return queries.crosswind_interruptions(_weighted(spark, d, "crosswind_interruptions"), "arrival", LO, HI)
+    return direct.crosswind_interruptions(*_q(spark, d), "arrival", LO, HI)
 
 
 def q_delay_map(spark, d):
-    return queries.delay_map(_weighted(spark, d, "airport_delay_count"), HUB, "departure", FIRST_DAY, LAST_DAY)
+    return direct.delay_map(*_q(spark, d), HUB, "departure", FIRST_DAY, LAST_DAY)
 
 
 def q_interruption_bars(spark, d):
-    return queries.interruption_bars(_weighted(spark, d, "crosswind_interruptions"), "arrival",
-                                     FIRST_DAY, LAST_DAY)
+    return direct.interruption_bars(*_q(spark, d), "arrival", FIRST_DAY, LAST_DAY)
 
 
 def q_wind_rose_days(spark, d):
-    return queries.wind_rose_days(_weighted(spark, d, "wind_rose"), "arrival", FIRST_DAY, LAST_DAY)
+    return direct.wind_rose_days(*_q(spark, d), "arrival", FIRST_DAY, LAST_DAY)
+
+
+def q_wind_rose_weighted(spark, d):
+    """Q1 over the weighted per-flight plan (weather reduced, flights not)."""
+    return queries.wind_rose(_weighted(spark, d, "wind_rose"), "departure", LO, HI)
+
+
+def q_crosswind_weighted(spark, d):
+    """Q3 over the weighted per-flight plan."""
+    return queries.crosswind_interruptions(_weighted(spark, d, "crosswind_interruptions"), "arrival", LO, HI)
 
 
 def q_crosswind_json(spark, d):

@@ -47,9 +47,16 @@ def wind_rose(rows: DataFrame, direction: str, lo: Bound, hi: Bound,
         window_with_pruning(rows, c.time, _bound(lo), _bound(hi))
         & delayed_15(c.del15) & not_null(c.time, "card_dir")
     )
-    # The zero-filled result is one small partition (see zero_fill_compass), so it
-    # is ordered in place rather than through a range shuffle.
-    return zero_fill_compass(wind_rose_counts(kept), compass).sortWithinPartitions("index_dir", "binned_wind")
+    return finish_wind_rose(wind_rose_counts(kept), compass)
+
+
+def finish_wind_rose(counts: DataFrame, compass: Sequence[str] = COMPASS) -> DataFrame:
+    """R1 + O2 on the (direction, bin) counts.
+
+    The zero-filled result is one small partition (see ``zero_fill_compass``),
+    so it is ordered in place rather than through a range shuffle.
+    """
+    return zero_fill_compass(counts, compass).sortWithinPartitions("index_dir", "binned_wind")
 
 
 def airport_delay_count(rows: DataFrame, direction: str, lo: Bound, hi: Bound,
@@ -68,9 +75,24 @@ def airport_delay_count(rows: DataFrame, direction: str, lo: Bound, hi: Bound,
         pred = pred & (F.col("dep_or_arr") == direction)
         key = other_role(direction)
     kept = rows.where(pred)
-    counts = delays_per_airport(kept, key.iata, key.long, key.lat, c.del15)
-    # One row per airport (bounded by the three-letter code space): the final
-    # order is taken in a single partition, without a sampling job.
+    return finish_delay_count(delays_per_airport(kept, key.iata, key.long, key.lat, c.del15), direction,
+                              counterpart=counterpart)
+
+
+def delay_count_keys(direction: str, *, counterpart: bool = False):
+    """(count role, key role) of Q2: the end whose time and delay are read, and
+    the end the delays are grouped by."""
+    c = role_columns(direction)
+    return c, (other_role(direction) if counterpart else c)
+
+
+def finish_delay_count(counts: DataFrame, direction: str, *, counterpart: bool = False) -> DataFrame:
+    """O1: most delays first, airport code as tie-break.
+
+    One row per airport (bounded by the three-letter code space), so the
+    order is taken in a single partition, without a sampling job.
+    """
+    c, key = delay_count_keys(direction, counterpart=counterpart)
     return counts.coalesce(1).sortWithinPartitions(F.col(c.del15).desc(), F.col(key.iata))
 
 
@@ -95,6 +117,11 @@ def crosswind_interruptions(rows: DataFrame, direction: str, lo: Bound, hi: Boun
     return interruption_matrix(counts)
 
 
+def bound(b: Bound) -> Column:
+    """A typed bound literal (or the column as given)."""
+    return _bound(b)
+
+
 def delay_map(rows: DataFrame, hub: str, direction: str, start, end, *,
               inclusive_end: bool = False) -> DataFrame:
     """Q4: Q2 over a day range, the hub itself removed."""

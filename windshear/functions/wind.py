@@ -50,6 +50,15 @@ def wind_bin(
     return expr
 
 
+def has_wind_bin(speed: Column | str, bounds: Sequence[float] = WIND_BOUNDS) -> Column:
+    """True exactly where ``wind_bin`` is not NULL: the speed is at least the lowest bound.
+
+    Cheaper to filter on than ``wind_bin(...).isNotNull()``: a pushed-down
+    filter inlines the expression it tests, and this one reads the speed once.
+    """
+    return _col(speed).cast("double") >= F.lit(float(bounds[0]))
+
+
 def precip_flag(condition: Column | str, dry: Sequence[str] = DRY_CONDITIONS) -> Column:
     """C11: 0 for a dry-runway condition, 1 for anything else, missing included."""
     return F.when(_col(condition).isin(list(dry)), F.lit(0)).otherwise(F.lit(1))

@@ -34,15 +34,18 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int) -> DataFrame:
     return df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
     """Give a fact input at least as many partitions as the cluster has cores.
 
     A large input normally arrives in many files and is left alone; one that
     arrives in fewer files than there are cores (a single file, or an
     unsplittable one) would otherwise run every downstream broadcast join in
-    one task. The check reads the already listed file index, no job runs. The
-    round-robin repartition is deterministic, so recomputing a lost partition
-    is safe.
+    one task. The check reads the already listed file index, no job runs.
+
+    With ``keys`` (a well-spread column such as a row id) the rows are hashed
+    on them: deterministic, so a lost partition recomputes identically, and
+    no sort is needed. Without keys a round-robin repartition is used, which
+    Spark makes deterministic by sorting each input partition first.
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
@@ -50,7 +53,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         files = len(df.inputFiles())
     except Exception:
         return df
-    return df.repartition(want) if 0 < files < want else df
+    if not 0 < files < want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)
 
 
 def airport_zone_dim(airports: DataFrame, zones: DataFrame) -> DataFrame:

@@ -210,11 +210,11 @@ def _q(spark, d):
 
 
 def q_wind_rose_departure(spark, d):
-    return direct.wind_rose(*_q(spark, d), "departure", LO, HI)
+    return direct.wind_rose(*_q(spark, d), "departure", LO, HI, bounds=CFG.wind_bounds)
 
 
 def q_wind_rose_arrival(spark, d):
-    return direct.wind_rose(*_q(spark, d), "arrival", LO, HI)
+    return direct.wind_rose(*_q(spark, d), "arrival", LO, HI, bounds=CFG.wind_bounds)
 
 
 def q_airport_delay_departure(spark, d):
@@ -246,7 +246,7 @@ def q_interruption_bars(spark, d):
 
 
 def q_wind_rose_days(spark, d):
-    return direct.wind_rose_days(*_q(spark, d), "arrival", FIRST_DAY, LAST_DAY)
+    return direct.wind_rose_days(*_q(spark, d), "arrival", FIRST_DAY, LAST_DAY, bounds=CFG.wind_bounds)
 
 
 def q_wind_rose_weighted(spark, d):

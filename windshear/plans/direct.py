@@ -18,9 +18,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windshear.config import COMPASS, HubConfig
+from windshear.config import COMPASS, WIND_BOUNDS, HubConfig
 from windshear.functions.times import day_bounds
-from windshear.functions.wind import weather_delayed
+from windshear.functions.wind import has_wind_bin, weather_delayed
 from windshear.operators.aggregates import interruption_counts
 from windshear.operators.filters import delayed_15, exclude_airport, not_null, time_window, weather_cancelled
 from windshear.operators.joins import WEIGHT
@@ -49,12 +49,14 @@ def _n(name: str):
 
 
 def wind_rose(flights: DataFrame, weather: DataFrame, direction: str, lo: Bound, hi: Bound,
-              compass: Sequence[str] = COMPASS) -> DataFrame:
-    """Q1 from the inputs."""
+              compass: Sequence[str] = COMPASS, bounds: Sequence[float] = WIND_BOUNDS) -> DataFrame:
+    """Q1 from the inputs. ``bounds`` must be the bins the weather was cleaned with."""
     c = role_columns(direction)
     f = (flights.where(time_window(c.time, bound(lo), bound(hi)) & delayed_15(c.del15) & not_null(c.time))
          .groupBy("time_interval").agg(_n("n_f")))
-    w = (weather.where(not_null("card_dir", "binned_wind"))
+    # "has a bin" is tested on the speed, not on the bin label: the filter is
+    # pushed into the weather scan and would otherwise inline the whole bin chain.
+    w = (weather.where(not_null("card_dir") & has_wind_bin("wind_speed", bounds))
          .groupBy("time_interval", "card_dir", "binned_wind").agg(_n("n_w")))
     pairs = f.join(w, on="time_interval").select(
         "card_dir", "binned_wind", (F.col("n_f") * F.col("n_w")).alias(WEIGHT))
@@ -86,8 +88,9 @@ def crosswind_interruptions(flights: DataFrame, weather: DataFrame, direction: s
     f = (flights.where(time_window(c.time, bound(lo), bound(hi)) & (delayed | cancelled))
          .groupBy("time_interval")
          .agg(F.count_if(delayed).alias("n_delay"), F.count_if(cancelled).alias("n_cncl")))
-    w = (weather.where(F.col("crosswind_lim").isin(1, 2))
-         .groupBy("time_interval", "crosswind_lim").agg(_n("n_w")))
+    # No filter on the limit class here: a pushed-down filter would inline its
+    # whole definition into the scan. The sums below pick classes 1 and 2.
+    w = weather.groupBy("time_interval", "crosswind_lim").agg(_n("n_w"))
     pairs = f.join(w, on="time_interval").select(
         "crosswind_lim", (F.col("n_delay") * F.col("n_w")).alias("delays"),
         (F.col("n_cncl") * F.col("n_w")).alias("cancels"))
@@ -115,10 +118,10 @@ def interruption_bars(flights: DataFrame, weather: DataFrame, direction: str, st
 
 
 def wind_rose_days(flights: DataFrame, weather: DataFrame, direction: str, start, end, *,
-                   inclusive_end: bool = False) -> DataFrame:
+                   inclusive_end: bool = False, bounds: Sequence[float] = WIND_BOUNDS) -> DataFrame:
     """Q6 from the inputs."""
     lo, hi = day_bounds(start, end, inclusive_end=inclusive_end)
-    return wind_rose(flights, weather, direction, lo, hi)
+    return wind_rose(flights, weather, direction, lo, hi, bounds=bounds)
 
 
 __all__ = ["question_inputs", "wind_rose", "airport_delay_count", "crosswind_interruptions",

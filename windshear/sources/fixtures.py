@@ -80,7 +80,7 @@ def _r2(x: Column) -> Column:
 def flight_raw(spark: SparkSession, sf_dir: str, limit_bytes: int = 64 << 20) -> DataFrame:
     """S1 stand-in: one flight per line item (lineitem x orders x customer x supplier)."""
     li = spread(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"))
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"), "l_orderkey")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -124,7 +124,7 @@ def weather_raw(spark: SparkSession, sf_dir: str, *, descriptor_every: int | Non
     ``descriptor_every=k`` blanks ``Date_Time`` where ``event_id % k = 0``, the
     shape of the descriptor rows a station file starts with (for F1).
     """
-    e = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value"))
+    e = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value"), "event_id")
     eid, ts, v = F.col("event_id"), F.col("ts"), F.col("value")
     # Built from the wall-clock fields, so the text does not depend on the session zone.
     five = F.lpad(_text(F.floor(F.minute(ts) / 5) * 5), 2, "0")

@@ -4,6 +4,7 @@ pre-aggregated question plans must equal counting the fanned-out mart rows."""
 import pytest
 from pyspark.sql import functions as F
 
+from windshear.functions.wind import wind_bin
 from windshear.plans import direct, queries
 
 LO, HI = "2024-01-01 00:00", "2024-01-03 00:00"
@@ -30,11 +31,13 @@ def skewed(spark):
         F.when(i % 5 == 0, F.lit("10.00")).when(i % 5 == 1, F.lit("0.00")).alias("wthr_code"),
     )
     dirs = F.array(*[F.lit(d) for d in ("N", "NE", "E", "S", "VRB")])
-    bins = F.array(*[F.lit(b) for b in ("00-05", "05-10", ">35")])
+    speed = (F.when(i % 10 == 0, F.lit(None).cast("double"))
+             .when(i % 17 == 0, F.lit(-1.0)).otherwise((i % 40) * F.lit(0.5)))
     weather = spark.range(900).select(
         key(i).alias("time_interval"),
         F.when(i % 13 != 0, F.get(dirs, (i % 5).cast("int"))).alias("card_dir"),
-        F.when(i % 10 != 0, F.get(bins, (i % 3).cast("int"))).alias("binned_wind"),
+        speed.alias("wind_speed"),
+        wind_bin(speed).alias("binned_wind"),
         (i % 3).cast("int").alias("crosswind_lim"),
     )
     mart = flights.join(weather, "time_interval", "left")

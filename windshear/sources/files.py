@@ -3,15 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from windshear import schemas
 
 
 def _csv(spark: SparkSession, path: str | list[str], schema) -> DataFrame:
-    # Columns are matched by header name, so extra columns in the file are ignored
-    # and a file with columns in another order still reads right.
-    return (spark.read.schema(schema).option("header", True)
-            .option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path))
+    """Header CSV as text, the needed columns selected by header name.
+
+    Files may carry more columns (the public flight files have about a
+    hundred) in any order; nothing is inferred, every value stays text, and
+    the parser materialises only the selected columns. A missing column is
+    an error up front rather than a column of NULLs.
+    """
+    df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    missing = [n for n in schema.fieldNames() if n not in df.columns]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}")
+    return df.select(*[F.col(f"`{n}`").cast("string").alias(n) for n in schema.fieldNames()])
 
 
 def read_flights(spark: SparkSession, path) -> DataFrame:

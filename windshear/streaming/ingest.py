@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from windshear import schemas
@@ -20,12 +21,19 @@ from windshear.session import scratch_path
 from windshear.sources.mart import DAY_COLUMN
 
 
-def flight_stream(spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None) -> DataFrame:
-    """S1 as a stream: flight CSV files appearing under ``path``."""
-    reader = spark.readStream.schema(schemas.FLIGHT_RAW).option("header", True)
+def flight_stream(spark: SparkSession, path: str, *, file_schema: T.StructType | None = None,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """S1 as a stream: flight CSV files appearing under ``path``.
+
+    A stream needs the files' full column list up front (``file_schema``, all
+    text; default: exactly the used columns). Headers are checked against it,
+    so a file with other columns fails instead of being read by position.
+    """
+    schema = file_schema or schemas.FLIGHT_RAW
+    reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(path)
+    return reader.csv(path).select(*schemas.FLIGHT_RAW.fieldNames())
 
 
 def mart_stream(flights_raw: DataFrame, weather_raw: DataFrame, airports_raw: DataFrame,

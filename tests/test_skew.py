@@ -68,3 +68,18 @@ def test_crosswind_under_skew(skewed, direction):
     got = direct.crosswind_interruptions(flights, weather, direction, LO, HI)
     _same(got, queries.crosswind_interruptions(mart, direction, LO, HI))
     assert sum(r["dry"] + r["precip"] for r in got.collect()) > 0
+
+
+@pytest.mark.parametrize("hot_rows,chunk", [(50, 7), (1, 1000)])
+def test_split_join_equals_left_join(spark, skewed, hot_rows, chunk):
+    from windshear.operators.joins import attach_weather_split
+
+    flights, weather, mart = skewed
+    # identical copies at the hot key as well
+    weather = weather.unionByName(weather.where(F.col("time_interval") == F.lit("2024-01-01 00:00")
+                                                .cast("timestamp_ntz")))
+    plain = flights.join(weather, "time_interval", "left")
+    split = attach_weather_split(flights, weather, hot_key_rows=hot_rows, buckets=4, chunk_rows=chunk)
+    assert split.count() == plain.count()
+    assert split.exceptAll(plain.select(*split.columns)).count() == 0
+    assert plain.select(*split.columns).exceptAll(split).count() == 0

@@ -177,6 +177,12 @@ def q_mart_dedupe(spark, d):
     return _mart(spark, d, replace(CFG, weather_dedupe="latest"))
 
 
+def q_mart_split(spark, d):
+    """The mart through the hot-key split join (keys with over 2 observations
+    count as hot here, so most keys take the split path)."""
+    return _mart(spark, d, replace(CFG, hot_key_rows=2, salt_buckets=4))
+
+
 def q_dedupe_weather(spark, d):
     return etl.prepared_weather(fx.weather_raw(spark, d), replace(CFG, weather_dedupe="latest"))
 

@@ -20,6 +20,7 @@ from windshear.operators.joins import (
     airport_zone_dim,
     attach_airports,
     attach_weather,
+    attach_weather_split,
     attach_weighted_weather,
 )
 from windshear.operators.projections import (
@@ -131,7 +132,11 @@ def enrich(flights_raw: DataFrame, weather_raw: DataFrame, airports_raw: DataFra
     """
     flights = localise_flights(clean_flights(flights_raw, cfg),
                                airport_dimension(airports_raw, zones_raw), cfg)
-    return attach_weather(flights, prepared_weather(weather_raw, cfg))
+    weather = prepared_weather(weather_raw, cfg)
+    if cfg.hot_key_rows is not None:
+        return attach_weather_split(flights, weather, hot_key_rows=cfg.hot_key_rows,
+                                    buckets=cfg.salt_buckets, limit_bytes=cfg.broadcast_limit)
+    return attach_weather(flights, weather)
 
 
 def build_mart(flights_raw: DataFrame, weather_raw: DataFrame, airports_raw: DataFrame,

@@ -73,3 +73,43 @@ def test_mart_layout_roundtrip(spark, tmp_path):
     assert "PartitionFilters" in plan and "dep_day" in plan
     lazy = queries.airport_delay_count(mart, "departure", "2024-01-05 00:00", "2024-01-10 00:00")
     assert sorted(map(tuple, q.collect())) == sorted(map(tuple, lazy.collect()))
+
+
+def _flight_raw(spark, rows):
+    cols = ["FlightDate", "Reporting_Airline", "Origin", "DepTime", "DepDelay", "DepDel15", "Dest", "ArrTime",
+            "ArrDelay", "ArrDel15", "Distance", "CancellationCode", "WeatherDelay", "LateAircraftDelay",
+            "Div1Airport"]
+    return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
+
+
+def test_d3_overnight_option(spark):
+    raw = _flight_raw(spark, [
+        ("2024-01-01", "X", "ATL", "2300", "0", "0", "BOS", "0100", "0", "0", "1", None, None, "0", None),
+        ("2024-01-01", "X", "ATL", "2400", "0", "0", "BOS", "0130", "0", "0", "1", None, None, "0", None),
+    ])
+    same_day = etl.clean_flights(raw, HubConfig()).orderBy("dep_time").collect()
+    rolled = etl.clean_flights(raw, HubConfig(roll_overnight=True)).orderBy("dep_time").collect()
+    D = dt.datetime
+    assert [(r["dep_time"], r["arr_time"]) for r in same_day] == [
+        (D(2024, 1, 1, 0, 0), D(2024, 1, 1, 1, 30)), (D(2024, 1, 1, 23, 0), D(2024, 1, 1, 1, 0))]
+    assert [(r["dep_time"], r["arr_time"]) for r in rolled] == [
+        (D(2024, 1, 1, 23, 0), D(2024, 1, 2, 1, 0)), (D(2024, 1, 2, 0, 0), D(2024, 1, 2, 1, 30))]
+
+
+def test_d15_snap_weather_option(spark):
+    raw = spark.createDataFrame(
+        [("2024-01-01T05:02:00Z", "N", "0", "1.0", None, "Clear")],
+        "Date_Time string, wind_cardinal_direction_set_1d string, wind_direction_set_1 string, "
+        "wind_speed_set_1 string, wind_gust_set_1 string, weather_condition_set_1d string")
+    off = etl.clean_weather(raw, HubConfig()).first()["time_interval"]
+    on = etl.clean_weather(raw, HubConfig(snap_weather=True)).first()["time_interval"]
+    assert off == dt.datetime(2024, 1, 1, 0, 2) and on == dt.datetime(2024, 1, 1, 0, 0)
+
+
+def test_p9_count_name(spark):
+    rows = spark.createDataFrame(
+        [("N01", 1.0, 2.0, dt.datetime(2024, 1, 1, 1, 0), 1)],
+        "dep_iata string, dep_long float, dep_lat float, dep_time timestamp_ntz, dep_del15 int")
+    out = queries.airport_delay_count(rows, "departure", "2024-01-01 00:00", "2024-01-02 00:00",
+                                      count_name="delay_count")
+    assert out.columns == ["dep_iata", "dep_long", "dep_lat", "delay_count"] and out.first()["delay_count"] == 1

@@ -60,13 +60,14 @@ def finish_wind_rose(counts: DataFrame, compass: Sequence[str] = COMPASS) -> Dat
 
 
 def airport_delay_count(rows: DataFrame, direction: str, lo: Bound, hi: Bound,
-                        *, counterpart: bool = False) -> DataFrame:
+                        *, counterpart: bool = False, count_name: str | None = None) -> DataFrame:
     """Q2: delayed rows per airport, most delays first.
 
     Default (the original code's meaning, D16): all rows in range, grouped by
     the ``direction`` end. ``counterpart=True`` gives the README's meaning:
     flights leaving (or reaching) the hub, grouped by their other end.
-    Output: code, longitude, latitude and the count, named after ``del15``.
+    Output: code, longitude, latitude and the count, named after ``del15``
+    (P8) or ``count_name`` (P9, e.g. ``delay_count``).
     """
     c = role_columns(direction)
     pred = window_with_pruning(rows, c.time, _bound(lo), _bound(hi)) & not_null(c.time) & delayed_15(c.del15)
@@ -75,8 +76,9 @@ def airport_delay_count(rows: DataFrame, direction: str, lo: Bound, hi: Bound,
         pred = pred & (F.col("dep_or_arr") == direction)
         key = other_role(direction)
     kept = rows.where(pred)
-    return finish_delay_count(delays_per_airport(kept, key.iata, key.long, key.lat, c.del15), direction,
-                              counterpart=counterpart)
+    out = finish_delay_count(delays_per_airport(kept, key.iata, key.long, key.lat, c.del15), direction,
+                             counterpart=counterpart)
+    return out.withColumnRenamed(c.del15, count_name) if count_name else out
 
 
 def delay_count_keys(direction: str, *, counterpart: bool = False):

@@ -50,9 +50,13 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     try:
-        files = len(df.inputFiles())
+        # Only the count crosses to Python, not millions of paths.
+        files = len(df._jdf.inputFiles())
     except Exception:
-        return df
+        try:
+            files = len(df.inputFiles())
+        except Exception:
+            return df
     if not 0 < files < want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)

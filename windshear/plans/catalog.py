@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from windshear.functions.labels import interruption_class, surrogate_key
 from windshear.functions.times import combine_date_clock, hhmm_to_clock
+from windshear.functions.wind import gust_override, precip_flag
 from windshear.operators.filters import hub_filter
 from windshear.operators.joins import attach_airports, attach_weather
 from windshear.operators.projections import flight_columns, weather_columns
@@ -121,7 +122,7 @@ def q_round_five_minutes(spark, d):
 def q_gust_override(spark, d):
     w = weather_columns(fx.weather_raw(spark, d))
     return w.select("time_interval", "card_dir", F.col("wind_speed").alias("reported_speed"), "gust_speed",
-                    etl.gust_override("wind_speed", "gust_speed").alias("wind_speed"))
+                    gust_override("wind_speed", "gust_speed").alias("wind_speed"))
 
 
 def q_wind_bins(spark, d):
@@ -131,7 +132,7 @@ def q_wind_bins(spark, d):
 def q_precip_flag(spark, d):
     raw = fx.weather_raw(spark, d)
     return raw.select(F.col("Date_Time"), F.col("weather_condition_set_1d").alias("condition"),
-                      etl.precip_flag("weather_condition_set_1d", CFG.dry_conditions).alias("precip"))
+                      precip_flag("weather_condition_set_1d", CFG.dry_conditions).alias("precip"))
 
 
 def q_weather_hub_time(spark, d):

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from windshear.config import COMPASS, WIND_BOUNDS, HubConfig
 from windshear.functions.times import day_bounds
 from windshear.functions.wind import has_wind_bin, weather_delayed
-from windshear.operators.aggregates import interruption_counts
 from windshear.operators.filters import delayed_15, exclude_airport, not_null, time_window, weather_cancelled
 from windshear.operators.joins import WEIGHT
 from windshear.operators.projections import flight_side_projection, role_columns
@@ -126,4 +125,4 @@ def wind_rose_days(flights: DataFrame, weather: DataFrame, direction: str, start
 
 
 __all__ = ["question_inputs", "wind_rose", "airport_delay_count", "crosswind_interruptions",
-           "delay_map", "interruption_bars", "wind_rose_days", "interruption_counts"]
+           "delay_map", "interruption_bars", "wind_rose_days"]

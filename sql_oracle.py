@@ -334,6 +334,9 @@ def oracle() -> dict[str, str]:
     q["mart"] = _with(f"SELECT {MART_COLS} FROM mart")
     q["mart_dedupe"] = _with(f"SELECT {MART_COLS} FROM mart_latest")
     q["mart_split"] = _with(f"SELECT {MART_COLS} FROM mart")
+    q["streamed_mart"] = _with(f"SELECT {MART_COLS} FROM mart")
+    q["stored_mart_delay_count"] = _delay_count("departure", LO, HI)
+    q["stored_mart_crosswind"] = _crosswind("departure", LO, HI)
     q["dedupe_weather"] = _with("SELECT time_interval, card_dir, wind_dir, wind_speed, gust_speed, precip, "
                                 "binned_wind, crosswind, crosswind_lim FROM weather_latest")
     q["interruption_class_dry"] = _interruptions("crosswind_lim = 1", "cw_del_dry")

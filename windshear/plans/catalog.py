@@ -7,6 +7,7 @@ whole tables (``sources.fixtures``) and runs the library's operators on them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -21,6 +22,8 @@ from windshear.operators.joins import attach_airports, attach_weather
 from windshear.operators.projections import flight_columns, weather_columns
 from windshear.plans import direct, etl, queries
 from windshear.sources import fixtures as fx
+from windshear.session import scratch_path
+from windshear.sources.mart import read_mart, write_mart
 from windshear.sources.sinks import as_json_lines
 
 CFG = fx.FIXTURE_CONFIG
@@ -266,6 +269,38 @@ def q_crosswind_weighted(spark, d):
     return queries.crosswind_interruptions(_weighted(spark, d, "crosswind_interruptions"), "arrival", LO, HI)
 
 
+def _stored_mart(spark, d):
+    """The mart written in the S8 layout under the shared scratch folder, read back."""
+    path = scratch_path(spark, f"marts/{uuid.uuid4().hex}")
+    write_mart(_mart(spark, d), path)
+    return read_mart(spark, path)
+
+
+def q_stored_mart_delay_count(spark, d):
+    """Q2 over the stored, day-partitioned mart (partition pruning on dep_day)."""
+    return queries.airport_delay_count(_stored_mart(spark, d), "departure", LO, HI)
+
+
+def q_stored_mart_crosswind(spark, d):
+    """Q3 over the stored mart."""
+    return queries.crosswind_interruptions(_stored_mart(spark, d), "departure", LO, HI)
+
+
+def q_streamed_mart(spark, d):
+    """The mart built by the streaming ETL: the derived flight rows land as CSV
+    files, one file stream runs to completion (availableNow) and appends to
+    the stored mart, which is read back."""
+    from windshear.streaming import flight_stream, start_mart_stream
+
+    base = scratch_path(spark, f"streams/{uuid.uuid4().hex}")
+    flights, weather, airports, zones = _inputs(spark, d)
+    flights.write.option("header", True).csv(f"{base}/landing")
+    q = start_mart_stream(flight_stream(spark, f"{base}/landing"), weather, airports, zones, CFG,
+                          f"{base}/mart", checkpoint=f"{base}/checkpoint")
+    q.awaitTermination()
+    return read_mart(spark, f"{base}/mart").drop("dep_day")
+
+
 def q_crosswind_json(spark, d):
     return as_json_lines(q_crosswind_departure(spark, d))
 

@@ -32,10 +32,6 @@ from windshear.operators.projections import (
     weather_columns,
 )
 
-WEATHER_ATTRS = ("card_dir", "wind_dir", "wind_speed", "gust_speed", "precip",
-                 "binned_wind", "crosswind", "crosswind_lim")
-
-
 def flight_times(df: DataFrame, cfg: HubConfig) -> DataFrame:
     """C1 + C2 on both ends: ``HHMM`` text and flight date to wall-clock timestamps.
 

@@ -64,3 +64,12 @@ def test_results_independent_of_session_zone(spark, la_zone):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     b = sorted(map(tuple, QUERIES["crosswind_arrival"](spark, SF_SMALL).collect()))
     assert a == b
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(("stored_", "streamed_"))))
+def test_no_python_in_plans(spark, name):
+    """Every plan stays on the JVM: no Python UDF, no Arrow/pandas evaluation,
+    no RDD of Python rows."""
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    for marker in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "ExistingRDD", "PythonEvals"):
+        assert marker not in plan, f"{name}: {marker} in plan"

@@ -29,6 +29,7 @@ def skewed(spark):
         ((i + 1) % 2).cast("int").alias("arr_del15"),
         F.when(i % 7 == 0, F.lit("B")).alias("cncl_code"),
         F.when(i % 5 == 0, F.lit("10.00")).when(i % 5 == 1, F.lit("0.00")).alias("wthr_code"),
+        F.when(i % 9 == 0, F.lit("XYZ")).alias("diverted_iata"),
     )
     dirs = F.array(*[F.lit(d) for d in ("N", "NE", "E", "S", "VRB")])
     speed = (F.when(i % 10 == 0, F.lit(None).cast("double"))
@@ -83,3 +84,13 @@ def test_split_join_equals_left_join(spark, skewed, hot_rows, chunk):
     assert split.count() == plain.count()
     assert split.exceptAll(plain.select(*split.columns)).count() == 0
     assert plain.select(*split.columns).exceptAll(split).count() == 0
+
+
+@pytest.mark.parametrize("lim", [1, 2])
+def test_interruption_classes_under_skew(skewed, lim):
+    from windshear.functions.labels import interruption_class
+
+    flights, weather, mart = skewed
+    cond = F.col("crosswind_lim") == lim
+    expected = mart.groupBy(interruption_class(cond).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    _same(direct.interruption_classes(flights, weather, cond, "c"), expected)

@@ -14,7 +14,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windshear.functions.labels import interruption_class, surrogate_key
+from windshear.functions.labels import surrogate_key
 from windshear.functions.times import combine_date_clock, hhmm_to_clock
 from windshear.functions.wind import gust_override, precip_flag
 from windshear.operators.filters import hub_filter
@@ -67,6 +67,11 @@ def _inputs(spark, d):
             _memo(spark, (d, "zones"), lambda: fx.timezone_raw(spark, d)))
 
 
+def _q(spark, d):
+    """(flights, weather) prepared once per session and table folder."""
+    return _memo(spark, (d, "question_inputs"), lambda: direct.question_inputs(*_inputs(spark, d), CFG))
+
+
 def _mart(spark, d, cfg=CFG, **kw):
     return etl.build_mart(*_inputs(spark, d), cfg, **kw)
 
@@ -196,8 +201,7 @@ def q_surrogate_key(spark, d):
 
 
 def _interruptions(spark, d, cond, name):
-    m = _mart(spark, d, with_diverted_iata=True)
-    return m.groupBy(interruption_class(cond).alias(name)).agg(F.count(F.lit(1)).alias("n"))
+    return direct.interruption_classes(*_q(spark, d), cond, name)
 
 
 def q_interruption_class_dry(spark, d):
@@ -214,11 +218,6 @@ def q_interruption_class_any(spark, d):
 
 # --- the questions -----------------------------------------------------------------------
 
-def _q(spark, d):
-    """(flights, weather) prepared once per session and table folder."""
-    return _memo(spark, (d, "question_inputs"), lambda: direct.question_inputs(*_inputs(spark, d), CFG))
-
-
 def q_wind_rose_departure(spark, d):
     return direct.wind_rose(*_q(spark, d), "departure", LO, HI, bounds=CFG.wind_bounds)
 

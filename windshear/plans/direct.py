@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from windshear.config import COMPASS, WIND_BOUNDS, HubConfig
 from windshear.functions.times import day_bounds
+from windshear.functions.labels import interruption_class
 from windshear.functions.wind import has_wind_bin, weather_delayed
 from windshear.operators.filters import delayed_15, exclude_airport, not_null, time_window, weather_cancelled
 from windshear.operators.joins import WEIGHT
@@ -40,7 +41,8 @@ def question_inputs(flights_raw: DataFrame, weather_raw: DataFrame, airports_raw
     """(flights with the mart's flight columns and the grid key, cleaned weather)."""
     flights = etl.localise_flights(etl.clean_flights(flights_raw, cfg),
                                    etl.airport_dimension(airports_raw, zones_raw), cfg)
-    return flight_side_projection(flights), etl.prepared_weather(weather_raw, cfg)
+    diverted_iata = F.col("diverted").cast("string").alias("diverted_iata")
+    return flight_side_projection(flights, diverted_iata), etl.prepared_weather(weather_raw, cfg)
 
 
 def _n(name: str):
@@ -102,6 +104,26 @@ def crosswind_interruptions(flights: DataFrame, weather: DataFrame, direction: s
     return interruption_matrix(counts)
 
 
+def interruption_classes(flights: DataFrame, weather: DataFrame, lim_condition, name: str) -> DataFrame:
+    """C15-C17 counted over mart rows, from the inputs: ``name, n``.
+
+    Flights are grouped per key by the fields the class reads, weather per key
+    by its limit class; the class is computed on the joined groups and weighted
+    by the product of the two counts (a flight without weather counts once,
+    with a NULL class).
+    """
+    fields = ["wthr_code", "cncl_code", "dep_or_arr", "dep_del15", "arr_del15",
+              F.col("diverted_iata").isNotNull().alias("_diverted")]
+    f = flights.groupBy("time_interval", *fields).agg(_n("n_f"))
+    w = weather.groupBy("time_interval", "crosswind_lim").agg(_n("n_w"))
+    # The class only asks whether a diversion airport is present, so the
+    # grouped flag stands in for the airport code.
+    pairs = f.join(w, on="time_interval", how="left").withColumn(
+        "diverted_iata", F.when(F.col("_diverted"), F.lit("")))
+    weight = F.col("n_f") * F.coalesce(F.col("n_w"), F.lit(1).cast("long"))
+    return pairs.groupBy(interruption_class(lim_condition).alias(name)).agg(F.sum(weight).alias("n"))
+
+
 def delay_map(flights: DataFrame, weather: DataFrame, hub: str, direction: str, start, end, *,
               inclusive_end: bool = False) -> DataFrame:
     """Q4 from the inputs."""
@@ -125,4 +147,4 @@ def wind_rose_days(flights: DataFrame, weather: DataFrame, direction: str, start
 
 
 __all__ = ["question_inputs", "wind_rose", "airport_delay_count", "crosswind_interruptions",
-           "delay_map", "interruption_bars", "wind_rose_days"]
+           "delay_map", "interruption_bars", "wind_rose_days", "interruption_classes"]

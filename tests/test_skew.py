@@ -46,7 +46,8 @@ def skewed(spark):
 
 
 def _same(a, b):
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    assert sorted(map(tuple, a.collect()), key=key) == sorted(map(tuple, b.collect()), key=key)
 
 
 @pytest.mark.parametrize("direction", ["departure", "arrival"])

@@ -28,7 +28,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return int(v) if v.is_integer() else round(v, 4)
+        return int(v) if v.is_integer() else v
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().replace(tzinfo=None)
     if isinstance(v, _dt.datetime):

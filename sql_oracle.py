@@ -355,7 +355,7 @@ def oracle() -> dict[str, str]:
     q["crosswind_departure"] = _crosswind("departure", LO, HI)
     q["crosswind_arrival"] = _crosswind("arrival", LO, HI)
     q["crosswind_json"] = _with(_crosswind_counts("departure", LO, HI)
-                                + "\nSELECT to_json({'cond': cond, 'dry': dry, 'precip': precip}) AS json FROM matrix")
+                                + "\nSELECT CAST(to_json({'cond': cond, 'dry': dry, 'precip': precip}) AS VARCHAR) AS json FROM matrix")
     q["interruption_bars"] = _with(_crosswind_counts("arrival", DAY_LO, DAY_HI) + """
 SELECT cond, 'dry' AS runway, dry AS n FROM matrix
 UNION ALL

@@ -73,3 +73,15 @@ def test_no_python_in_plans(spark, name):
     plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     for marker in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "ExistingRDD", "PythonEvals"):
         assert marker not in plan, f"{name}: {marker} in plan"
+
+
+_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+          "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(n for n in SQL if not n.startswith(("stored_", "streamed_"))))
+def test_oracle_column_types(spark, duck, name):
+    """Same column names and types on both sides, so value hashes compare like with like."""
+    spark_types = {c: _TYPES.get(t, t) for c, t in QUERIES[name](spark, SF_CHECK).dtypes}
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {SQL[name]}").fetchall()}
+    assert spark_types == duck_types

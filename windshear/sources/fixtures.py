@@ -49,7 +49,8 @@ _READ: dict[tuple, DataFrame] = {}
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table as a DataFrame, reused within a session: the file listing and
-    footer read happen once, and self-joins of one scan share the exchange."""
+    footer read happen once, and self-joins of one scan share the exchange.
+    The benchmark tables are read-only, so the cached listing stays valid."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), spark.sparkContext.applicationId, path)
     df = _READ.get(key)

@@ -348,7 +348,10 @@ def oracle() -> dict[str, str]:
     q["wind_rose_weighted"] = _wind_rose("departure", LO, HI)
     q["crosswind_weighted"] = _crosswind("arrival", LO, HI)
     q["wind_rose_days"] = _wind_rose("arrival", DAY_LO, DAY_HI)
+    q["wind_rose_inclusive"] = _wind_rose("departure", DAY_LO, "2024-01-31 00:00")
     q["airport_delay_departure"] = _delay_count("departure", LO, HI)
+    q["delay_count_named"] = _delay_count("departure", LO, HI).replace(
+        "COUNT(dep_del15) AS dep_del15", "COUNT(dep_del15) AS delay_count")
     q["airport_delay_arrival"] = _delay_count("arrival", LO, HI)
     q["airport_delay_counterpart"] = _delay_count("departure", LO, HI, counterpart=True)
     q["delay_map"] = _delay_count("departure", DAY_LO, DAY_HI, exclude_hub=True)

@@ -24,7 +24,7 @@ from windshear.plans import direct, etl, queries
 from windshear.sources import fixtures as fx
 from windshear.session import scratch_path
 from windshear.sources.mart import read_mart, write_mart
-from windshear.sources.sinks import as_json_lines
+from windshear.sources.sinks import as_json_lines, preview
 
 CFG = fx.FIXTURE_CONFIG
 HUB = fx.FIXTURE_HUB
@@ -300,6 +300,24 @@ def q_streamed_mart(spark, d):
     return read_mart(spark, f"{base}/mart").drop("dep_day")
 
 
+def q_delay_count_named(spark, d):
+    """Q2 with the count column named ``delay_count``."""
+    return direct.airport_delay_count(*_q(spark, d), "departure", LO, HI).withColumnRenamed(
+        "dep_del15", "delay_count")
+
+
+def q_wind_rose_inclusive(spark, d):
+    """Q6 with the last day counted in full (next midnight as the upper bound, D17 option)."""
+    return direct.wind_rose_days(*_q(spark, d), "departure", FIRST_DAY, "2024-01-30", inclusive_end=True,
+                                 bounds=CFG.wind_bounds)
+
+
+def q_mart_preview(spark, d):
+    """The first 20 mart rows for a look (the limit is the feature; which
+    rows come first is not defined, so only the count is checked)."""
+    return preview(_mart(spark, d), 20)
+
+
 def q_crosswind_json(spark, d):
     return as_json_lines(q_crosswind_departure(spark, d))
 

@@ -1,6 +1,8 @@
 """Operator-level tests: reshaping, weighting, de-duplication, layout."""
 
+import contextlib
 import datetime as dt
+import io
 
 from pyspark.sql import functions as F
 
@@ -73,6 +75,12 @@ def test_mart_layout_roundtrip(spark, tmp_path):
     assert "PartitionFilters" in plan and "dep_day" in plan
     lazy = queries.airport_delay_count(mart, "departure", "2024-01-05 00:00", "2024-01-10 00:00")
     assert sorted(map(tuple, q.collect())) == sorted(map(tuple, lazy.collect()))
+    arr = queries.crosswind_interruptions(stored, "arrival", "2024-01-05 00:00", "2024-01-10 00:00")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        arr.explain("formatted")
+    pushed = [line for line in buf.getvalue().splitlines() if line.startswith("PushedFilters")]
+    assert any("GreaterThanOrEqual(arr_time" in p and "In(crosswind_lim" in p for p in pushed)
 
 
 def _flight_raw(spark, rows):

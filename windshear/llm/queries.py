@@ -8,10 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windshear.llm import hyperminhash, toxicity
+from windshear.llm import hyperminhash, mixing, pii, suffixes, toxicity
 from windshear.llm.common import held_out, read_table
 
 
+def op2_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document at source weights 5, 2, 1 and 150 % of all words."""
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
+def op4_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document; counts are over all spans, plain and disguised."""
+    out = pii.find(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base", 256).alias("base_sha256"), "spans", "n_added")
+
+
 def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components at 100 * intersection >= 85 * union on five-word shingles."""
     return hyperminhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=5, percent=85)
@@ -26,9 +37,20 @@ def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_words", "segments")
 
 
+def op10_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of ten words in every document, and its longest verbatim match."""
+    out = suffixes.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), size=10)
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"), "longest", "longest_at", "longest_item")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_entropy_mixing": op2_entropy_mixing,
+    "op4_deobfuscated_pii": op4_deobfuscated_pii,
     "op6_hyperminhash": op6_hyperminhash,
     "op8_toxic_segments": op8_toxic_segments,
+    "op10_suffix_arrays": op10_suffix_arrays,
 }
 
 # SQL for the queries that it can express.

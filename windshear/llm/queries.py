@@ -8,10 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windshear.llm import hyperminhash, mixing, pii, suffixes, toxicity
+from windshear.llm import hyperminhash, imatch, langid, mixing, pii, suffixes, toxicity
 from windshear.llm.common import held_out, read_table
 
 
+def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match fingerprints of every document and of its edited text."""
+    return imatch.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op2_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document at source weights 5, 2, 1 and 150 % of all words."""
     return mixing.mix(read_table(spark, sf_dir, "documents"))
@@ -37,6 +42,13 @@ def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_words", "segments")
 
 
+def op9_word_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from the rows that are not held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    out = langid.predict(docs, langid.fit(docs))
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op10_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of ten words in every document, and its longest verbatim match."""
     out = suffixes.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), size=10)
@@ -46,10 +58,12 @@ def op10_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_imatch": op1_imatch,
     "op2_entropy_mixing": op2_entropy_mixing,
     "op4_deobfuscated_pii": op4_deobfuscated_pii,
     "op6_hyperminhash": op6_hyperminhash,
     "op8_toxic_segments": op8_toxic_segments,
+    "op9_word_backoff": op9_word_backoff,
     "op10_suffix_arrays": op10_suffix_arrays,
 }
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windshear.llm import hyperminhash, imatch, langid, mixing, pii, suffixes, toxicity
+from windshear.llm import hyperminhash, imatch, langid, mixing, pii, suffixes, toxicity, warc
 from windshear.llm.common import held_out, read_table
 
 
@@ -22,6 +22,12 @@ def op2_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op3_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back along the verified record chains."""
+    return warc.round_trip(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
+
+
 def op4_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document; counts are over all spans, plain and disguised."""
     out = pii.find(read_table(spark, sf_dir, "documents"))
@@ -60,6 +66,7 @@ def op10_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_imatch": op1_imatch,
     "op2_entropy_mixing": op2_entropy_mixing,
+    "op3_boundary_chain": op3_boundary_chain,
     "op4_deobfuscated_pii": op4_deobfuscated_pii,
     "op6_hyperminhash": op6_hyperminhash,
     "op8_toxic_segments": op8_toxic_segments,
@@ -68,4 +75,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 # SQL for the queries that it can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_boundary_chain": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+        f AS (SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+               CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to, TRUE AS digest_ok
+        FROM p LEFT JOIN f USING (digest)""",
+}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windshear.llm import hyperminhash, imatch, langid, mixing, pii, suffixes, toxicity, warc
+from windshear.llm import hyperminhash, imatch, langid, mixing, pii, suffixes, templates, toxicity, warc
 from windshear.llm.common import held_out, read_table
 
 
@@ -39,6 +39,11 @@ def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=5, percent=85)
 
 
+def op7_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, site templates removed."""
+    return templates.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from the rows that are not held out."""
     docs = read_table(spark, sf_dir, "documents")
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_boundary_chain": op3_boundary_chain,
     "op4_deobfuscated_pii": op4_deobfuscated_pii,
     "op6_hyperminhash": op6_hyperminhash,
+    "op7_site_templates": op7_site_templates,
     "op8_toxic_segments": op8_toxic_segments,
     "op9_word_backoff": op9_word_backoff,
     "op10_suffix_arrays": op10_suffix_arrays,

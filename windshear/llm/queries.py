@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windshear.llm import hyperminhash, imatch, langid, mixing, pii, suffixes, templates, toxicity, warc
+from windshear.llm import hyperminhash, imatch, langid, mixing, pii, secrets, suffixes, templates, toxicity, warc
 from windshear.llm.common import held_out, read_table
 
 
@@ -34,6 +34,11 @@ def op4_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base", 256).alias("base_sha256"), "spans", "n_added")
 
 
+def op5_forest_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every secret candidate of all documents with the forest's verdict."""
+    return secrets.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components at 100 * intersection >= 85 * union on five-word shingles."""
     return hyperminhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=5, percent=85)
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_entropy_mixing": op2_entropy_mixing,
     "op3_boundary_chain": op3_boundary_chain,
     "op4_deobfuscated_pii": op4_deobfuscated_pii,
+    "op5_forest_secrets": op5_forest_secrets,
     "op6_hyperminhash": op6_hyperminhash,
     "op7_site_templates": op7_site_templates,
     "op8_toxic_segments": op8_toxic_segments,

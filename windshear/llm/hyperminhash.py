@@ -9,13 +9,13 @@
    band keys. At similarity 0.8 a pair shares none of the 50 bands with
    probability 2.5e-7, at 0.85 5e-11.
 4. Links. Within a band key every class is compared with a leader of the
-   key: first by the collision-corrected Jaccard estimate of the sketches (six
-   standard deviations below the limit are let through), then on the full sets.
+   key: first by the collision-corrected Jaccard estimate of the sketches (down to
+   ``SIGMAS`` standard deviations below the limit; of pairs at the limit 3e-7 are lost), then on the full sets.
 5. Rest. Connected components follow. Only band keys whose classes still lie
    in several components go on, and of these only classes with enough shingles
    that another such class has. In rounds, up to ``LEADERS`` classes outside the
    key's largest component meet all members of other components that can share
-   enough with them, and then leave the key, until each key holds one component.
+   enough with them, by those counts and the lowest bits of their registers, and then leave the key, until each key holds one component.
    So a group of copies costs links in proportion to its rows, and every pair
    that shares a key and could join two components is tested.
 
@@ -30,7 +30,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -41,6 +41,8 @@ REPEATS, BUCKETS, ROWS, MANTISSA = 5, 64, 6, 10
 BANDS = BUCKETS // ROWS
 EMPTY = np.uint16(0xFFFF)
 LEADERS = 512
+PLANES = 4
+SIGMAS = 5
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -117,6 +119,31 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> tuple[float, i
     return max(0.0, (same - chance * used) / ((1 - chance) * used)), used
 
 
+def planes(registers: np.ndarray) -> list[int]:
+    """The lowest ``PLANES`` bits of all registers as bit planes, in 64-bit words."""
+    bits = (registers[None, :] >> np.arange(PLANES, dtype=np.uint16)[:, None]) & np.uint16(1)
+    return np.packbits(bits.astype(np.uint8), axis=1).reshape(-1).view(np.int64).tolist()
+
+
+def most_differing(limit: float) -> float:
+    """Registers whose kept bits differ, at most, for a similarity of ``limit``: ``SIGMAS`` deviations above the mean."""
+    p = (1 - limit) * (1 - 2.0 ** -PLANES)
+    n = REPEATS * BUCKETS
+    return n * p + SIGMAS * (n * p * (1 - p)) ** 0.5
+
+
+def _differing(a: str, b: str) -> Column:
+    """The number of registers that differ in a kept bit, from two columns of ``planes``."""
+    lanes = REPEATS * BUCKETS // 64
+    total = F.lit(0)
+    for i in range(lanes):
+        odd = F.lit(0).cast("long")
+        for k in range(PLANES):
+            odd = odd.bitwiseOR(F.col(a)[k * lanes + i].bitwiseXOR(F.col(b)[k * lanes + i]))
+        total = total + F.bit_count(odd)
+    return total
+
+
 def sketch_table(docs: DataFrame, words: int) -> DataFrame:
     """``(doc_id, n, digest, registers)`` per row of ``docs(doc_id, text)``."""
     memo: dict[bytes, int] = {}
@@ -153,7 +180,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, limit: float) -> DataFrame:
         out = {"a": [], "b": []}
         for a, b, na, nb, ra, rb in zip(*(cols[c] for c in ("a", "b", "na", "nb", "ra", "rb"))):
             j, used = estimate(np.frombuffer(ra, np.uint16), np.frombuffer(rb, np.uint16), na, nb)
-            if j >= limit - 6 * (limit * (1 - limit) / max(1, used)) ** 0.5 and min(na, nb) >= limit * max(na, nb) - 1e-9:
+            if j >= limit - SIGMAS * (limit * (1 - limit) / max(1, used)) ** 0.5 and min(na, nb) >= limit * max(na, nb) - 1e-9:
                 out["a"].append(a)
                 out["b"].append(b)
         return out
@@ -189,9 +216,8 @@ def _confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
             .where(100 * F.col("common") >= percent * union).select("a", "b"))
 
 
-def _roots(bands: DataFrame, links: DataFrame) -> DataFrame:
+def _rooted(bands: DataFrame, roots: DataFrame) -> DataFrame:
     """``(band, id, root)`` with the component of each class so far."""
-    roots = components(links)
     return bands.join(roots, bands["id"] == roots["node"], "left").select(
         "band", "id", F.coalesce("root", "id").alias("root"))
 
@@ -204,20 +230,27 @@ def _open(rooted: DataFrame) -> DataFrame:
 
 
 def _shared(rows: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """``rows`` with ``n`` and ``c``, the number of the class's shingles that some
+    """``rows`` with ``n``, the sketch's bit planes, and ``c``, the number of the class's shingles that some
     other class of ``rows`` has. A pair shares at most the smaller ``c``; classes
     whose ``c`` can't reach the limit with any partner are left out."""
     ids = stored(rows.select("id").distinct(), "ids")
     sets = _sets(docs, ids, words).select("id", F.explode("set").alias("s"))
     own = (sets.groupBy("s").agg(F.count("*").alias("k"), F.min("id").alias("id")).where("k = 1")
            .groupBy("id").agg(F.count("*").alias("own")))
-    c = (ids.join(classes.select("id", "n"), "id").join(own, "id", "left")
-         .select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c")).where(100 * F.col("c") >= percent * F.col("n")))
-    return rows.join(c, "id").select("band", "id", "root", "n", "c")
+    c = (ids.join(classes.select("id", "n", "registers"), "id").join(own, "id", "left")
+         .select("id", "n", "registers", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c"))
+         .where(100 * F.col("c") >= percent * F.col("n")))
+
+    def run(cols):
+        return {"id": cols["id"], "n": cols["n"], "c": cols["c"],
+                "bits": [planes(np.frombuffer(r, np.uint16)) for r in cols["registers"]]}
+
+    c = map_rows(c, run, "id long, n long, c long, bits array<long>", ["id", "n", "c", "registers"])
+    return rows.join(c, "id").select("band", "id", "root", "n", "c", "bits")
 
 
-def near_links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links between class representatives that give the components of all links."""
+def class_roots(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+    """``(node, root)`` of the class representatives that have a link."""
     limit = percent / 100
     bands = _bands(classes)
     keys = bands.groupBy("band").agg(F.count("*").alias("m"), F.min("id").alias("lead")).where("m > 1")
@@ -226,11 +259,12 @@ def near_links(docs: DataFrame, classes: DataFrame, words: int, percent: int) ->
     links = stored(_confirm(_likely(pairs, classes, limit), docs, words, percent), "pairs")
     tested = [links]
     # Each first leader has met all classes of its key.
-    rest = stored(_open(_roots(rows.where("id <> lead").select("band", "id"), links)), "rest")
+    roots = stored(components(links), "roots")
+    rest = stored(_open(_rooted(rows.where("id <> lead").select("band", "id"), roots)), "rest")
     if rest.isEmpty():
-        return links
+        return roots
     rest = stored(_open(_shared(rest, docs, classes, words, percent)), "rest")
-    sizes = rest.select("id", "n", "c").distinct()
+    sizes = rest.select("id", "n", "c", "bits").dropDuplicates(["id"])
     while not rest.isEmpty():
         usual = (rest.groupBy("band", "root").agg(F.count("*").alias("k")).groupBy("band")
                  .agg(F.max(F.struct("k", "root")).alias("r")).select("band", F.col("r.root").alias("usual")))
@@ -238,15 +272,18 @@ def near_links(docs: DataFrame, classes: DataFrame, words: int, percent: int) ->
         lead = stored(rest.join(usual, "band").where("root <> usual").withColumn("at", F.row_number().over(rank))
                       .where(F.col("at") <= LEADERS)
                       .select("band", F.col("id").alias("lead"), F.col("root").alias("lr"), F.col("n").alias("ln"),
-                              F.col("c").alias("lc")), "leads")
+                              F.col("c").alias("lc"), F.col("bits").alias("lbits")), "leads")
         most = F.least("c", "lc")
         pairs = (rest.join(lead, "band").where(F.col("root") != F.col("lr"))
-                 .where(100 * most >= percent * (F.col("n") + F.col("ln") - most))
+                 .where((100 * most >= percent * (F.col("n") + F.col("ln") - most))
+                        & (_differing("bits", "lbits") <= most_differing(limit)))
                  .select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b")).distinct())
         tested.append(stored(_confirm(_likely(pairs, classes, limit), docs, words, percent), "pairs"))
         rest = rest.join(lead.select("band", F.col("lead").alias("id")), ["band", "id"], "left_anti").select("band", "id")
-        rest = stored(_open(_roots(rest, _union(tested))).join(sizes, "id").select("band", "id", "root", "n", "c"), "rest")
-    return _union(tested)
+        if not tested[-1].isEmpty():
+            roots = stored(components(_union(tested)), "roots")
+        rest = stored(_open(_rooted(rest, roots)).join(sizes, "id").select("band", "id", "root", "n", "c", "bits"), "rest")
+    return roots
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -264,7 +301,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     classes = stored(table.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(
         F.min(F.struct("doc_id", "n", "registers")).alias("r")).select(
         "digest", F.col("r.doc_id").alias("id"), F.col("r.n").alias("n"), F.col("r.registers").alias("registers")), "classes")
-    roots = components(near_links(docs, classes, words, percent))
+    roots = class_roots(docs, classes, words, percent)
     member = (classes.select("digest", "id").join(roots, F.col("id") == F.col("node"), "left")
               .select("digest", F.coalesce("root", "id").alias("component")))
     out = table.select("doc_id", "n", "digest").join(member, "digest", "left")

@@ -1,0 +1,12 @@
+import pytest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture
+def make_docs(spark):
+    """Documents from (id, text) or (id, text, lang, source) tuples, with an extra column whose name clashes."""
+    def make(rows):
+        full = [(r[0], r[1], r[2] if len(r) > 2 else "en", r[3] if len(r) > 3 else "s", len(r[1] or "")) for r in rows]
+        return spark.createDataFrame(full, SCHEMA)
+    return make

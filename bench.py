@@ -13,8 +13,8 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -46,8 +46,7 @@ def main() -> None:
                           **{"spark.ui.showConsoleProgress": "false"})
     cfg = fx.FIXTURE_CONFIG
     raw = lambda: fx.raw_inputs(spark, SF_DIR)
-    base = tempfile.mkdtemp(prefix="bench-", dir=scratch_dir(spark)) if not scratch_dir(spark).startswith(
-        ("hdfs:", "s3a:", "gs:", "abfs")) else scratch_dir(spark).rstrip("/") + f"/bench-{int(time.time())}"
+    base = scratch_dir(spark).rstrip("/") + f"/bench-{uuid.uuid4().hex}"
 
     steps = {}
     runs = {"n": 0}

@@ -10,11 +10,13 @@ HUB = "N08"
 HUB_TZ = "America/New_York"
 LO, HI = "2024-01-01 00:00", "2024-02-01 00:00"
 DAY_LO, DAY_HI = "2024-01-01 00:00", "2024-01-31 23:59"
+WEEK_LO, WEEK_HI = "2024-01-08 00:00", "2024-01-15 00:00"
+ONE_DAY = "2024-01-10"
 DESCRIPTOR_EVERY = 101
 
 _CARDINALS = "['N','NNE','NE','ENE','E','ESE','SE','SSE','S','SSW','SW','WSW','W','WNW','NW','NNW','VRB']"
 _BOUNDS = "[2.57::DOUBLE, 5.14::DOUBLE, 7.72::DOUBLE, 10.29::DOUBLE, 12.86::DOUBLE, 15.43::DOUBLE, 18.01::DOUBLE]"
-_ZONES = "['America/New_York','America/Chicago','America/Denver','America/Phoenix','America/Los_Angeles']"
+_ZONES = "['America/Phoenix','America/Chicago','America/Denver','America/New_York','America/Los_Angeles']"
 _DRY = "('Clear','Fog','Mostly Clear','Mostly Cloudy','N/A','Overcast','Partly Cloudy','Smoke')"
 _CROSS = "('NW','NNW','N','NNE','NE','SE','SSE','S','SSW','SW')"
 _COMPASS = ["N", "NNE", "NE", "ENE", "E", "ESE", "SE", "SSE", "S", "SSW", "SW", "WSW", "W", "WNW", "NW", "NNW"]
@@ -107,8 +109,8 @@ weather_raw AS (
     CAST((event_id * 37) % 360 AS VARCHAR) AS wind_direction_set_1,
     CAST(CASE WHEN event_id % 50 = 0 THEN NULL
               WHEN event_id % 11 = 0 THEN ({_BOUNDS})[event_id % 7 + 1]
-              ELSE {_r2('least(value, 250.0::DOUBLE) / 10.0::DOUBLE')} END AS VARCHAR) AS wind_speed_set_1,
-    CAST(CASE WHEN event_id % 3 = 0 THEN {_r2('least(value, 250.0::DOUBLE) / 10.0::DOUBLE + 2.0::DOUBLE')} END AS VARCHAR)
+              ELSE {_r2('value / 10.0::DOUBLE')} END AS VARCHAR) AS wind_speed_set_1,
+    CAST(CASE WHEN event_id % 3 = 0 THEN {_r2('value / 10.0::DOUBLE + 2.0::DOUBLE')} END AS VARCHAR)
       AS wind_gust_set_1,
     CASE event_type WHEN 'view' THEN 'Clear' WHEN 'signup' THEN 'Overcast' WHEN 'purchase' THEN 'Light Rain'
                     WHEN 'click' THEN 'Fog' END AS weather_condition_set_1d
@@ -117,11 +119,11 @@ weather_raw AS (
 airport_raw AS (
   SELECT {_code('n_nationkey')} AS iata, CAST(n_nationkey + 25 AS VARCHAR) AS lat,
          CAST(-(n_nationkey * 2 + 70) AS VARCHAR) AS long
-  FROM nation WHERE n_nationkey <> 24
+  FROM nation
 ),
 timezone_raw AS (
   SELECT {_code('n_nationkey')} AS iata_code, ({_ZONES})[n_regionkey + 1] AS timezone
-  FROM nation WHERE n_nationkey <> 24
+  FROM nation
 ),
 p1 AS (
   SELECT TRY_CAST(FlightDate AS DATE) AS date, Reporting_Airline AS airline_id, Origin AS dep_iata,
@@ -331,6 +333,22 @@ def oracle() -> dict[str, str]:
                                "arr_long, arr_timezone FROM roles")
     q["times_in_hub_zone"] = _with("SELECT dep_iata, arr_iata, dep_timezone, arr_timezone, dep_time, arr_time "
                                    "FROM localised")
+    q["missing_airport"] = q["airport_roles"].replace("  FROM nation\n),\ntimezone_raw", "  FROM nation WHERE n_nationkey <> 24\n),\ntimezone_raw")
+    q["unknown_zone"] = q["times_in_hub_zone"].replace(f"({_ZONES})[n_regionkey + 1] AS timezone",
+                                                       f"CASE WHEN n_nationkey <> 24 THEN ({_ZONES})[n_regionkey + 1] END AS timezone")
+    q["surrogate_key"] = _with("SELECT COUNT(*) AS total, COUNT(*) AS distinct_ids, TRUE AS non_negative FROM mart")
+    order = ", ".join(f"{c} ASC NULLS FIRST" for c in MART_COLS.split(", "))
+    q["mart_preview"] = _with(f"SELECT {MART_COLS} FROM mart ORDER BY {order} LIMIT 20")
+    q["csv_flights"] = _with("SELECT * FROM flight_raw")
+    q["csv_weather"] = _with("SELECT * FROM weather_raw", DESCRIPTOR_EVERY)
+    q["csv_airport_zone"] = q["airport_zone_dim"]
+    q["csv_mart"] = _with(f"SELECT {MART_COLS} FROM mart")
+    q["stored_mart_week_departure"] = _delay_count("departure", WEEK_LO, WEEK_HI)
+    q["stored_mart_week_arrival"] = _delay_count("arrival", WEEK_LO, WEEK_HI)
+    q["wind_rose_day"] = _wind_rose("departure", f"{ONE_DAY} 00:00", f"{ONE_DAY} 23:59")
+    q["delay_map_day"] = _delay_count("arrival", f"{ONE_DAY} 00:00", f"{ONE_DAY} 23:59", exclude_hub=True)
+    q["delay_rank"] = (f"SELECT dep_iata, dep_del15, CAST(row_number() OVER (ORDER BY dep_del15 DESC, dep_iata) AS INTEGER) AS place "
+                       f"FROM ({_delay_count('departure', WEEK_LO, WEEK_HI)})")
     q["mart"] = _with(f"SELECT {MART_COLS} FROM mart")
     q["mart_dedupe"] = _with(f"SELECT {MART_COLS} FROM mart_latest")
     q["mart_split"] = _with(f"SELECT {MART_COLS} FROM mart")

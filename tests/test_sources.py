@@ -2,6 +2,10 @@
 
 import json
 
+import pytest
+from conftest import SF_SMALL
+
+from windshear.plans import etl
 from windshear.sources import files, sinks
 
 
@@ -41,6 +45,72 @@ def test_weather_descriptor_rows_dropped(spark, tmp_path):
     assert len(rows) == 1 and rows[0]["wind_dir"] == 340 and rows[0]["wind_speed"] == 7.72
 
 
+ZONE_FILES = {"one.csv": "iata_code,timezone\nABC,America/Denver\n", "two.csv": "timezone,iata_code\nAmerica/Chicago,DEF\n"}
+
+
+def test_files_with_swapped_columns(spark, tmp_path):
+    for name, text in ZONE_FILES.items():
+        (tmp_path / name).write_text(text)
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_timezones(spark, str(tmp_path)).collect()
+    rows = files.read_timezones(spark, [str(tmp_path / n) for n in ZONE_FILES]).collect()
+    assert {tuple(r) for r in rows} == {("ABC", "America/Denver"), ("DEF", "America/Chicago")}
+
+
+def test_file_without_a_column(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("iata_code\nABC\n")
+    with pytest.raises(ValueError, match="missing columns"):
+        files.read_timezones(spark, str(tmp_path / "a.csv"))
+
+
+def test_columns_json_is_bounded(spark):
+    with pytest.raises(ValueError):
+        sinks.columns_json(spark.range(30), most=20)
+
+
+def test_batch_job(spark, tmp_path):
+    from windshear import job
+    from windshear.sources import fixtures as fx
+
+    raw = dict(zip("fwaz", fx.raw_inputs(spark, SF_SMALL)))
+    for name, df in raw.items():
+        df.write.option("header", True).csv(str(tmp_path / name))
+    mart = job.run(spark, [str(tmp_path / "f")], [str(tmp_path / "w")], str(tmp_path / "a"), str(tmp_path / "z"),
+                   fx.FIXTURE_CONFIG, str(tmp_path / "out"))
+    assert mart.count() == etl.build_mart(*raw.values(), fx.FIXTURE_CONFIG).count() > 0
+
+
+def test_airport_files_of_real_size_are_broadcast(spark, tmp_path):
+    """221 airports and 9,000 zones: two broadcast joins, and no exchange of the flights."""
+    from windshear.sources import fixtures as fx
+
+    code = lambda i: "".join(chr(65 + i // 26 ** k % 26) for k in (2, 1, 0))
+    (tmp_path / "a.csv").write_text("iata,airport,city,state,country,lat,long,cnt\n" + "".join(
+        f"{code(i)},A{i},C,S,USA,1,2,3\n" for i in range(221)))
+    (tmp_path / "z.csv").write_text("iata_code,timezone\n" + "".join(f"{code(i)},America/Denver\n" for i in range(9000)))
+    flights = etl.clean_flights(fx.flight_raw(spark, SF_SMALL), fx.FIXTURE_CONFIG)
+    out = etl.localise_flights(flights, files.read_airports(spark, str(tmp_path / "a.csv")),
+                               files.read_timezones(spark, str(tmp_path / "z.csv")), fx.FIXTURE_CONFIG)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    before = flights._jdf.queryExecution().executedPlan().toString()
+    count = lambda text, word: sum(word in line for line in text.splitlines())
+    assert "hashpartitioning(dep_iata" not in plan and "hashpartitioning(arr_iata" not in plan
+    assert count(plan, "BroadcastHashJoin") >= count(before, "BroadcastHashJoin") + 2
+
+
+def test_arrival_range_prunes_day_folders(spark, tmp_path):
+    from windshear.plans import queries
+    from windshear.sources import fixtures as fx
+    from windshear.sources.mart import read_mart, write_mart
+
+    write_mart(etl.build_mart(*fx.raw_inputs(spark, SF_SMALL), fx.FIXTURE_CONFIG), str(tmp_path / "m"))
+    mart = read_mart(spark, str(tmp_path / "m"))
+    for direction in ("departure", "arrival"):
+        plan = queries.airport_delay_count(mart, direction, "2024-01-08 00:00", "2024-01-15 00:00")
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [" in text and "PartitionFilters: []" not in text
+
+
 def test_json_sinks(spark, tmp_path):
     df = spark.createDataFrame([("weather delay by CW", 3, 4)], "cond string, dry long, precip long")
     assert json.loads(sinks.as_json_lines(df).first()["json"]) == {"cond": "weather delay by CW", "dry": 3,

@@ -1,6 +1,9 @@
 """The streaming ETL gives the same mart as the batch ETL, and a restart adds
 only new files."""
 
+import shutil
+
+import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
@@ -18,16 +21,14 @@ def test_stream_matches_batch(spark, tmp_path):
     first = flights.where(F.col("FlightDate") < "2024-01-15")
     second = flights.where(F.col("FlightDate") >= "2024-01-15")
     first.write.option("header", True).csv(landing + "/drop=1")
-    mart_path, ckpt = str(tmp_path / "mart"), str(tmp_path / "ckpt")
+    mart_path = str(tmp_path / "mart")
 
-    q = start_mart_stream(flight_stream(spark, landing + "/*"), weather, airports, zones, cfg, mart_path,
-                          checkpoint=ckpt)
+    q = start_mart_stream(flight_stream(spark, landing + "/*"), weather, airports, zones, cfg, mart_path)
     q.awaitTermination()
     n1 = read_mart(spark, mart_path).count()
 
     second.write.option("header", True).csv(landing + "/drop=2")
-    q = start_mart_stream(flight_stream(spark, landing + "/*"), weather, airports, zones, cfg, mart_path,
-                          checkpoint=ckpt)
+    q = start_mart_stream(flight_stream(spark, landing + "/*"), weather, airports, zones, cfg, mart_path)
     q.awaitTermination()
 
     stored = read_mart(spark, mart_path).drop("dep_day")
@@ -35,3 +36,11 @@ def test_stream_matches_batch(spark, tmp_path):
     assert 0 < n1 < stored.count()
     assert stored.count() == batch.count()
     assert stored.exceptAll(batch).count() == 0 and batch.exceptAll(stored).count() == 0
+
+    # Two marts keep separate checkpoints; a mart whose checkpoint is gone is refused rather than overwritten.
+    other = str(tmp_path / "other")
+    start_mart_stream(flight_stream(spark, landing + "/*"), weather, airports, zones, cfg, other).awaitTermination()
+    assert read_mart(spark, other).count() == batch.count()
+    shutil.rmtree(other + "/_checkpoint")
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        start_mart_stream(flight_stream(spark, landing + "/*"), weather, airports, zones, cfg, other)

@@ -22,12 +22,12 @@ def hhmm_minutes(raw: Column | str, *, midnight_is_next_day: bool = False) -> Co
     00:00 (D2). With ``midnight_is_next_day`` the value ``2400`` gives 1440.
     """
     s = _col(raw)
-    # Digits only (no sign, blank or trailing newline), so the integer reading
-    # equals the left-padded HHMM reading: 930 is 09:30, 5 is 00:05.
-    n = F.when(s.rlike(r"^[0-9]{1,4}\z"), s.try_cast("int"))
-    hh = F.floor(n / F.lit(100)).cast("int")
-    mm = n % 100
-    minutes = F.when((hh < 24) & (mm < 60), hh * 60 + mm)
+    # Digits only (no sign, blank or trailing newline) with a valid minute and
+    # hour, so the integer reading equals the left-padded HHMM reading (930 is
+    # 09:30, 5 is 00:05) and each full hour counts 40 minutes too many.
+    n = s.try_cast("int")
+    minutes = F.when(s.rlike(r"^(?:(?:[01]?[0-9]|2[0-3])[0-5][0-9]|[0-5]?[0-9])\z"),
+                     n - 40 * F.floor(n / F.lit(100)).cast("int"))
     if midnight_is_next_day:
         minutes = minutes.when(s == "2400", F.lit(1440))
     return minutes.otherwise(F.lit(0))

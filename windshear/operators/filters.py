@@ -1,4 +1,4 @@
-"""Row filters as predicates or DataFrame steps."""
+"""Row filters as predicates or DataFrame steps."""
 
 from __future__ import annotations
 
@@ -9,9 +9,8 @@ from windshear.config import WEATHER_CANCELLATION_CODE
 from windshear.functions.wind import weather_delayed  # noqa: F401  (F7, re-exported)
 
 
-def drop_null_time(df: DataFrame, column: str = "Date_Time") -> DataFrame:
-    """drop rows without a time (the descriptor rows of a station file)."""
-    return df.dropna(how="any", subset=[column])
+# Days by which the two times of a flight can differ, at most.
+ARRIVAL_DAYS = 4
 
 
 def hub_filter(df: DataFrame, hub: str) -> DataFrame:
@@ -25,16 +24,23 @@ def time_window(time_col: str, lo: Column, hi: Column) -> Column:
 
 
 def window_with_pruning(df: DataFrame, time_col: str, lo: Column, hi: Column) -> Column:
-    """F3 plus, on a mart stored by departure day, the implied day predicate.
-
-    ``lo <= dep_time < hi`` implies ``to_date(lo) <= dep_day <= to_date(hi)``;
+    """F3 plus, on a mart stored by departure day, the implied day predicate;
     stating it lets the scan skip whole day directories.
+
+    ``lo <= dep_time < hi`` implies ``to_date(lo) <= dep_day <= to_date(hi)``.
+    Both times of a flight come from one flight date: a clock adds at most a
+    day (two with the overnight roll) and a zone moves it by at most a day, so
+    they lie within ``ARRIVAL_DAYS`` of each other. An arrival range implies
+    that margin around its days, or no departure day at all (D9).
     """
     pred = time_window(time_col, lo, hi)
-    day_col = f"{time_col.split('_')[0]}_day"
-    if day_col in df.columns:
-        pred = pred & (F.col(day_col) >= F.to_date(lo)) & (F.col(day_col) <= F.to_date(hi))
-    return pred
+    if "dep_day" not in df.columns:
+        return pred
+    day = F.col("dep_day")
+    if time_col == "dep_time":
+        return pred & (day >= F.to_date(lo)) & (day <= F.to_date(hi))
+    near = (day >= F.date_sub(F.to_date(lo), ARRIVAL_DAYS)) & (day <= F.date_add(F.to_date(hi), ARRIVAL_DAYS))
+    return pred & (day.isNull() | near)
 
 
 def delayed_15(del15_col: str) -> Column:

@@ -37,10 +37,10 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int) -> DataFrame:
 def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
     """Give a fact input at least as many partitions as the cluster has cores.
 
-    A large input normally arrives in many files and is left alone; one that
-    arrives in fewer files than there are cores (a single file, or an
-    unsplittable one) would otherwise run every downstream broadcast join in
-    one task. The check reads the already listed file index, no job runs.
+    A large input is read in many splits and is left alone; one that has
+    fewer splits than there are cores (a single row group, or an unsplittable
+    file) would otherwise run every downstream broadcast join in one task. The
+    check plans the scan and counts its splits, no job runs.
 
     With ``keys`` (a well-spread column such as a row id) the rows are hashed
     on them: deterministic, so a lost partition recomputes identically, and
@@ -50,14 +50,10 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     try:
-        # Only the count crosses to Python, not millions of paths.
-        files = len(df._jdf.inputFiles())
-    except Exception:
-        try:
-            files = len(df.inputFiles())
-        except Exception:
-            return df
-    if not 0 < files < want:
+        splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    except AttributeError:  # e.g. Spark Connect, where the JVM plan is not reachable
+        return df
+    if not 0 < splits < want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
 
@@ -67,14 +63,25 @@ def airport_zone_dim(airports: DataFrame, zones: DataFrame) -> DataFrame:
     return airports.join(zones, on="iata_code", how="left")
 
 
-def attach_airports(flights: DataFrame, dim: DataFrame, limit_bytes: int) -> DataFrame:
+def fits_together(*sides: DataFrame, limit_bytes: int) -> bool:
+    """Whether the planned sizes of all sides add up to at most ``limit_bytes``."""
+    sizes = [estimated_size_bytes(s) for s in sides]
+    return all(s is not None for s in sizes) and sum(sizes) <= limit_bytes
+
+
+def attach_airports(flights: DataFrame, dim: DataFrame, limit_bytes: int, *, small: bool | None = None) -> DataFrame:
     """J3 + J4: the airport dimension as departure and as arrival airport (left joins).
 
-    The dimension is bounded by the number of airports (three-letter codes);
-    its size is still checked before it is broadcast.
+    The dimension holds one row per airport code. Catalyst estimates a join as
+    the product of its sides, so a caller who built the dimension from two
+    tables passes ``small``, found from the sizes of these tables
+    (``fits_together``); without it the dimension's own estimate is checked.
     """
-    dep = broadcast_if_small(airport_role(dim, "dep"), limit_bytes)
-    arr = broadcast_if_small(airport_role(dim, "arr"), limit_bytes)
+    dep, arr = airport_role(dim, "dep"), airport_role(dim, "arr")
+    if small is None:
+        dep, arr = broadcast_if_small(dep, limit_bytes), broadcast_if_small(arr, limit_bytes)
+    elif small:
+        dep, arr = F.broadcast(dep), F.broadcast(arr)
     return flights.join(dep, on="dep_iata", how="left").join(arr, on="arr_iata", how="left")
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,8 +58,18 @@ def airport_columns(raw: DataFrame) -> DataFrame:
 
 
 def timezone_columns(raw: DataFrame) -> DataFrame:
-    """Airport code and IANA zone name."""
-    return raw.select(F.col("iata_code").cast("string"), F.col("timezone").cast("string"))
+    """Airport code and IANA zone name; a name that is no zone becomes NULL (then D9
+    applies), so that one bad row does not fail the job."""
+    zone = F.col("timezone").cast("string")
+    known = known_zones()
+    return raw.select(F.col("iata_code").cast("string"), F.when(zone.isin(known), zone).alias("timezone"))
+
+
+@cache
+def known_zones() -> list[str]:
+    """The region names that the JVM's time-zone database knows."""
+    jvm = SparkContext._active_spark_context._jvm
+    return sorted(jvm.java.lang.String.join(",", jvm.java.time.ZoneId.getAvailableZoneIds()).split(","))
 
 
 def airport_role(dim: DataFrame, role: str) -> DataFrame:

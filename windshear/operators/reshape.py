@@ -34,9 +34,9 @@ def zero_fill_compass(counts: DataFrame, compass: Sequence[str] = COMPASS) -> Da
         "card_dir", F.lit(ZERO_FILL_BIN).alias("binned_wind"), F.lit(0).cast("long").alias("count"),
         "index_dir", F.lit(True).alias("_fill"))
     has_real = F.max(F.when(~F.col("_fill"), F.lit(1)).otherwise(F.lit(0))).over(Window.partitionBy("card_dir"))
-    # The input is an aggregate bounded by directions x speed bins, so the
-    # union is finished in one partition: the window needs no shuffle.
-    both = real.unionByName(fills).coalesce(1).withColumn("_has_real", has_real)
+    # The aggregate is finished in parallel; its result, bounded by directions x
+    # speed bins, then moves to one partition, where the window needs no shuffle.
+    both = real.unionByName(fills).repartition(1).withColumn("_has_real", has_real)
     return both.where(~F.col("_fill") | (F.col("_has_real") == 0)).drop("_fill", "_has_real")
 
 

@@ -39,8 +39,7 @@ from windshear.plans.queries import (
 def question_inputs(flights_raw: DataFrame, weather_raw: DataFrame, airports_raw: DataFrame,
                     zones_raw: DataFrame, cfg: HubConfig) -> tuple[DataFrame, DataFrame]:
     """(flights with the mart's flight columns and the grid key, cleaned weather)."""
-    flights = etl.localise_flights(etl.clean_flights(flights_raw, cfg),
-                                   etl.airport_dimension(airports_raw, zones_raw), cfg)
+    flights = etl.localise_flights(etl.clean_flights(flights_raw, cfg), airports_raw, zones_raw, cfg)
     diverted_iata = F.col("diverted").cast("string").alias("diverted_iata")
     return flight_side_projection(flights, diverted_iata), etl.prepared_weather(weather_raw, cfg)
 

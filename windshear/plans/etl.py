@@ -22,6 +22,7 @@ from windshear.operators.joins import (
     attach_weather,
     attach_weather_split,
     attach_weighted_weather,
+    fits_together,
 )
 from windshear.operators.projections import (
     airport_columns,
@@ -103,9 +104,11 @@ def airport_dimension(airports_raw: DataFrame, zones_raw: DataFrame) -> DataFram
     return airport_zone_dim(airport_columns(airports_raw), timezone_columns(zones_raw))
 
 
-def localise_flights(flights: DataFrame, dim: DataFrame, cfg: HubConfig) -> DataFrame:
-    """J3 + J4 + C3 x2: airport location and zone, then both times in the hub zone."""
-    df = attach_airports(flights, dim, cfg.broadcast_limit)
+def localise_flights(flights: DataFrame, airports_raw: DataFrame, zones_raw: DataFrame, cfg: HubConfig) -> DataFrame:
+    """J2 + J3 + J4 + C3 x2: airport location and zone, then both times in the hub zone."""
+    dim = airport_dimension(airports_raw, zones_raw)
+    small = fits_together(airport_columns(airports_raw), timezone_columns(zones_raw), limit_bytes=cfg.broadcast_limit)
+    df = attach_airports(flights, dim, cfg.broadcast_limit, small=small)
     return df.withColumns({
         "dep_time": zone_to_zone("dep_time", "dep_timezone", cfg.hub_tz),
         "arr_time": zone_to_zone("arr_time", "arr_timezone", cfg.hub_tz),
@@ -126,8 +129,7 @@ def enrich(flights_raw: DataFrame, weather_raw: DataFrame, airports_raw: DataFra
     The dimension joins (broadcast, no shuffle) run before the weather join,
     so they see each flight once rather than once per weather observation.
     """
-    flights = localise_flights(clean_flights(flights_raw, cfg),
-                               airport_dimension(airports_raw, zones_raw), cfg)
+    flights = localise_flights(clean_flights(flights_raw, cfg), airports_raw, zones_raw, cfg)
     weather = prepared_weather(weather_raw, cfg)
     if cfg.hot_key_rows is not None:
         return attach_weather_split(flights, weather, hot_key_rows=cfg.hot_key_rows,
@@ -150,8 +152,7 @@ def weighted_mart(flights_raw: DataFrame, weather_raw: DataFrame, airports_raw:
     Counting ``sum(n_obs)`` over it equals ``count(*)`` over the mart, but the
     flight x observation pairs of a repeated key are never formed.
     """
-    flights = localise_flights(clean_flights(flights_raw, cfg),
-                               airport_dimension(airports_raw, zones_raw), cfg)
+    flights = localise_flights(clean_flights(flights_raw, cfg), airports_raw, zones_raw, cfg)
     rows = flight_side_projection(flights)
     weather = prepared_weather(weather_raw, cfg).select("time_interval", *attrs)
     return attach_weighted_weather(rows, weather, attrs, cfg.broadcast_limit).drop("time_interval")

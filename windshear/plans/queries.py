@@ -31,7 +31,8 @@ from windshear.operators.reshape import bars_long, interruption_matrix, zero_fil
 Bound = str | _dt.datetime | _dt.date | Column
 
 
-def _bound(b: Bound) -> Column:
+def bound(b: Bound) -> Column:
+    """A typed bound literal (or the column as given)."""
     return b if isinstance(b, Column) else timestamp_literal(b)
 
 
@@ -44,7 +45,7 @@ def wind_rose(rows: DataFrame, direction: str, lo: Bound, hi: Bound,
     """
     c = role_columns(direction)
     kept = rows.where(
-        window_with_pruning(rows, c.time, _bound(lo), _bound(hi))
+        window_with_pruning(rows, c.time, bound(lo), bound(hi))
         & delayed_15(c.del15) & not_null(c.time, "card_dir")
     )
     return finish_wind_rose(wind_rose_counts(kept), compass)
@@ -70,7 +71,7 @@ def airport_delay_count(rows: DataFrame, direction: str, lo: Bound, hi: Bound,
     (P8) or ``count_name`` (P9, e.g. ``delay_count``).
     """
     c = role_columns(direction)
-    pred = window_with_pruning(rows, c.time, _bound(lo), _bound(hi)) & not_null(c.time) & delayed_15(c.del15)
+    pred = window_with_pruning(rows, c.time, bound(lo), bound(hi)) & not_null(c.time) & delayed_15(c.del15)
     key = c
     if counterpart:
         pred = pred & (F.col("dep_or_arr") == direction)
@@ -91,11 +92,12 @@ def delay_count_keys(direction: str, *, counterpart: bool = False):
 def finish_delay_count(counts: DataFrame, direction: str, *, counterpart: bool = False) -> DataFrame:
     """O1: most delays first, airport code as tie-break.
 
-    One row per airport (bounded by the three-letter code space), so the
-    order is taken in a single partition, without a sampling job.
+    The counts are finished in parallel; then one row per airport (bounded by
+    the three-letter code space) is ordered in a single partition, without a
+    sampling job.
     """
     c, key = delay_count_keys(direction, counterpart=counterpart)
-    return counts.coalesce(1).sortWithinPartitions(F.col(c.del15).desc(), F.col(key.iata))
+    return counts.repartition(1).sortWithinPartitions(F.col(c.del15).desc(), F.col(key.iata))
 
 
 def crosswind_interruptions(rows: DataFrame, direction: str, lo: Bound, hi: Bound) -> DataFrame:
@@ -106,7 +108,7 @@ def crosswind_interruptions(rows: DataFrame, direction: str, lo: Bound, hi: Boun
     """
     c = role_columns(direction)
     kept = rows.where(
-        window_with_pruning(rows, c.time, _bound(lo), _bound(hi))
+        window_with_pruning(rows, c.time, bound(lo), bound(hi))
         & F.col("crosswind_lim").isin(1, 2)
         & (weather_delayed("wthr_code") | weather_cancelled())
     )
@@ -119,11 +121,6 @@ def crosswind_interruptions(rows: DataFrame, direction: str, lo: Bound, hi: Boun
     return interruption_matrix(counts)
 
 
-def bound(b: Bound) -> Column:
-    """A typed bound literal (or the column as given)."""
-    return _bound(b)
-
-
 def delay_map(rows: DataFrame, hub: str, direction: str, start, end, *,
               inclusive_end: bool = False) -> DataFrame:
     """Q4: Q2 over a day range, the hub itself removed."""

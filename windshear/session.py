@@ -31,13 +31,16 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "winds
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is a private folder made and
-    registered, so that every executor and the driver see the same path.
+    Only when the setting is absent and the master is local (tests) is a
+    private folder made and registered; on a cluster, where executors would
+    not see it, a missing setting is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="windshear-scratch-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

@@ -12,15 +12,25 @@ def _csv(spark: SparkSession, path: str | list[str], schema) -> DataFrame:
     """Header CSV as text, the needed columns selected by header name.
 
     Files may carry more columns (the public flight files have about a
-    hundred) in any order; nothing is inferred, every value stays text, and
-    the parser materialises only the selected columns. A missing column is
-    an error up front rather than a column of NULLs.
+    hundred); nothing is inferred, every value stays text, and the parser
+    materialises only the selected columns. ``path`` may be a list: each entry
+    (a file or folder) is read by its own header, so column orders may differ
+    between entries. Within an entry all files must share one header: Spark
+    checks every file's and fails on another one, rather than reading it by
+    position. A column missing from an entry is an error up front.
     """
-    df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
-    missing = [n for n in schema.fieldNames() if n not in df.columns]
-    if missing:
-        raise ValueError(f"{path}: missing columns {missing}")
-    return df.select(*[F.col(f"`{n}`").cast("string").alias(n) for n in schema.fieldNames()])
+    names = schema.fieldNames()
+    parts = []
+    for one in [path] if isinstance(path, str) else path:
+        df = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False).csv(one))
+        missing = [n for n in names if n not in df.columns]
+        if missing:
+            raise ValueError(f"{one}: missing columns {missing}")
+        parts.append(df.select(*[F.col(f"`{n}`").cast("string").alias(n) for n in names]))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def read_flights(spark: SparkSession, path) -> DataFrame:

@@ -2,9 +2,9 @@
 
 Layout: one directory per departure day (``dep_day``), rows sorted by
 ``dep_time`` inside each file. A departure-time range prunes day directories
-(the questions add the implied ``dep_day`` predicate); an arrival-time range is
-served by Parquet min/max statistics, since arrival times follow departure
-times within a day.
+(the questions add the implied ``dep_day`` predicate); an arrival-time range
+prunes them too, by the days within which a flight's two times must lie
+(``filters.window_with_pruning``).
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 from windshear.schemas import MART
 
 DAY_COLUMN = "dep_day"
+# A streamed mart holds one folder per micro-batch above the day folders.
+BATCH_COLUMN = "batch_id"
 
 
 def write_mart(mart: DataFrame, path: str, *, mode: str = "overwrite") -> None:
@@ -32,6 +34,7 @@ def write_mart(mart: DataFrame, path: str, *, mode: str = "overwrite") -> None:
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
-    """The stored mart with its day column; filters reach the scan."""
+    """The stored mart with its day column; filters reach the scan. The batch
+    folders of a streamed mart are read as one table."""
     schema = T.StructType(MART.fields + [T.StructField(DAY_COLUMN, T.DateType())])
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).drop(BATCH_COLUMN)

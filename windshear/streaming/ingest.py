@@ -2,23 +2,23 @@
 
 The original job is a batch rebuild. Here the same operators (E1-E4) run over
 a file stream of flight CSVs: each micro-batch is cleaned, joined with the
-static weather and airport tables (stream-static left joins) and appended to
-the day-partitioned Parquet mart. The file sink's log and the checkpoint make
-each file land exactly once, and a restarted query resumes where it stopped.
+static weather and airport tables (stream-static left joins) and written with
+the batch layout (S8) to a folder of its own, ``batch_id=<n>``, inside the mart. A
+repeated batch overwrites its folder, so each file lands exactly once. The
+checkpoint lives inside the mart by default; a mart with batches whose
+checkpoint is gone is refused, since batch numbers would start again at 0.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from windshear import schemas
 from windshear.config import HubConfig
 from windshear.plans import etl
-from windshear.session import scratch_path
-from windshear.sources.mart import DAY_COLUMN
+from windshear.sources.mart import BATCH_COLUMN, write_mart
 
 
 def flight_stream(spark: SparkSession, path: str, *, file_schema: T.StructType | None = None,
@@ -40,7 +40,12 @@ def mart_stream(flights_raw: DataFrame, weather_raw: DataFrame, airports_raw: Da
                 zones_raw: DataFrame, cfg: HubConfig) -> DataFrame:
     """E1-E3 + P6 on a streaming flight input; weather and airports are static."""
     mart = etl.build_mart(flights_raw, weather_raw, airports_raw, zones_raw, cfg)
-    return mart.withColumn(DAY_COLUMN, F.to_date("dep_time"))
+    return mart
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
 def start_mart_stream(flights_raw: DataFrame, weather_raw: DataFrame, airports_raw: DataFrame,
@@ -51,13 +56,17 @@ def start_mart_stream(flights_raw: DataFrame, weather_raw: DataFrame, airports_r
 
     ``available_now`` processes what has landed and stops (a scheduled
     incremental run); otherwise the query keeps running. The checkpoint
-    defaults to the shared scratch folder of the cluster.
+    defaults to ``_checkpoint`` inside the mart.
     """
     spark = flights_raw.sparkSession
-    ckpt = checkpoint or scratch_path(spark, f"streams/{name}")
+    ckpt = checkpoint or f"{mart_path.rstrip('/')}/_checkpoint"
+    if _exists(spark, f"{mart_path}/{BATCH_COLUMN}=0") and not _exists(spark, f"{ckpt}/metadata"):
+        raise RuntimeError(f"the mart {mart_path} holds batches, but its checkpoint {ckpt} is missing")
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        write_mart(batch, f"{mart_path.rstrip('/')}/{BATCH_COLUMN}={batch_id}")
+
     writer = (mart_stream(flights_raw, weather_raw, airports_raw, zones_raw, cfg)
-              .writeStream.format("parquet").outputMode("append")
-              .partitionBy(DAY_COLUMN).option("path", mart_path).option("checkpointLocation", ckpt)
-              .queryName(name))
+              .writeStream.foreachBatch(land).option("checkpointLocation", ckpt).queryName(name))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -1,5 +1,9 @@
+"""What the tests of this folder share."""
+
 import pytest
 
+SF_SMALL = "/root/testdata/sf0.001"
+SF_CHECK = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from llm_helpers import SF_SMALL, make_docs  # noqa: F401
 from windshear.llm import hyperminhash as hm
 from windshear.llm.components import components
 

@@ -7,7 +7,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from llm_helpers import SF_SMALL, make_docs  # noqa: F401
 from windshear.llm import suffixes as sx
 
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

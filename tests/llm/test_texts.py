@@ -1,0 +1,202 @@
+"""Fingerprints, language identification, toxicity, page texts, secrets: small cases and held-out accuracy."""
+
+import hashlib
+import html as entities
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from llm_helpers import SF_SMALL, make_docs  # noqa: F401
+from windshear.llm import imatch, langid, secrets, templates, toxicity
+
+
+def table(spark, name, *cols):
+    return [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/{name}.parquet").select(*cols).collect()]
+
+
+# --- 1 I-Match -------------------------------------------------------------------------
+
+def check_fingerprints(rows, got):
+    """Edited texts against their definition; equal texts have equal fingerprints."""
+    order = sorted(rows, key=lambda r: -r[0])
+    by_text, got = {}, {r["doc_id"]: r for r in got}
+    assert len(got) == len(rows)
+    for i, (doc_id, text) in enumerate(order):
+        own, nxt = text or "", order[(i + 1) % len(order)][1] or ""
+        k = len(own) // 3
+        edited = own[:len(own) - k] + nxt[:k]
+        r = got[doc_id]
+        assert r["n_chars"] == len(own)
+        assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert by_text.setdefault(own, r["fingerprint"]) == r["fingerprint"]
+        assert by_text.setdefault(edited, r["edited_fingerprint"]) == r["edited_fingerprint"]
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        if own == nxt:
+            assert r["near_next"] == 1
+
+
+def test_fingerprints_of_a_table(spark):
+    got = entry.queries()["op1_imatch"](spark, SF_SMALL).collect()
+    check_fingerprints(table(spark, "documents", "doc_id", "text"), got)
+    assert np.mean([r["near_edited"] > r["near_next"] for r in got]) > 0.9
+
+
+def test_fingerprints_defined_cases(make_docs):
+    rows = [(5, "alpha beta gamma"), (4, "alpha beta gamma"), (3, None), (2, ""), (1, "ünï cödé 𝒳 text")]
+    check_fingerprints(rows, imatch.fingerprints(make_docs(rows)).collect())
+    check_fingerprints(rows[:1], imatch.fingerprints(make_docs(rows[:1])).collect())
+    assert imatch.fingerprints(make_docs([])).count() == 0
+    nulls = imatch.fingerprints(make_docs([(1, "a"), (None, "b"), (None, "b"), (1, "a")])).collect()
+    assert sorted(str(r["doc_id"]) for r in nulls) == ["1", "1", "None", "None"]
+
+
+# --- 9 language ------------------------------------------------------------------------
+
+def test_language_held_out_accuracy(spark):
+    lang = dict(table(spark, "documents", "doc_id", "lang"))
+    got = entry.queries()["op9_word_backoff"](spark, SF_SMALL).collect()
+    held = [r["lang_pred"] == lang[r["doc_id"]] for r in got if r["held_out"]]
+    assert len(got) == len(lang) and held and np.mean(held) > 0.97
+
+
+def test_language_defined_cases(spark, make_docs):
+    train = make_docs([(i, t, g) for i, (t, g) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 40)])
+    model = langid.fit(train)
+    docs = make_docs([(1, None), (2, " 12 !"), (3, "the dog"), (4, "hundekatzen"), (4, "hundekatzen")]).withColumn("score", F.lit(9))
+    got = sorted((r["doc_id"], r["lang_pred"]) for r in langid.predict(docs, model).collect())
+    assert got == [(1, "und"), (2, "und"), (3, "en"), (4, "de"), (4, "de")]
+    none = langid.fit(make_docs([]))
+    assert [r["lang_pred"] for r in langid.predict(make_docs([(1, "x")]), none).collect()] == ["und"]
+    assert langid.predict(make_docs([]), model).count() == 0
+
+
+# --- 8 toxicity ------------------------------------------------------------------------
+
+def test_segments_equal_brute_force():
+    """The best maximal segment is the best of all segments; segments are disjoint and positive."""
+    rnd = random.Random(4)
+    for _ in range(300):
+        n = rnd.randrange(1, 40)
+        hits = [(i, rnd.uniform(-2, 3)) for i in range(n) if rnd.random() < 0.3]
+        full = np.full(n, -0.25)
+        for i, s in hits:
+            full[i] = s
+        segs = toxicity.maximal_segments(hits, n, 0.25)
+        best = max([full[a:b].sum() for a in range(n) for b in range(a + 1, n + 1)])
+        if best > 0:
+            assert abs(max(s for _, _, s in segs) - best) < 1e-9
+        for (a, b, s), (c, _, _) in zip(segs, segs[1:] + [(n, n, 0)]):
+            assert a < b <= c and abs(full[a:b].sum() - s) < 1e-9 and s > 0
+
+
+def _toxic(make_docs, spark, n=600):
+    rnd = random.Random(1)
+    word = lambda: "".join(rnd.choices("aeiounrst", k=5))
+    common = [word() for _ in range(300)]
+    rows, labels = [], []
+    for i in range(n):
+        t = rnd.choices(common, k=rnd.choice([20, 60, 200]))
+        bad = i % 6 == 0
+        for _ in range(3 * bad):
+            t.insert(rnd.randrange(len(t)), rnd.choice(["vilething", "vilest", "nasty"]))
+        rows.append((i, " ".join(t)))
+        labels.append((i, int(bad)))
+    return make_docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int"), labels
+
+
+def test_toxicity_held_out_accuracy(spark, make_docs):
+    docs, labels, truth = _toxic(make_docs, spark)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    held = [(got[i] >= 0.3) == bool(y) for i, y in truth if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert np.mean(held) > 0.98
+    kept = toxicity.keep_clean(docs, toxicity.fit(docs, labels))
+    assert kept.columns == docs.columns and abs(kept.count() - sum(1 - y for _, y in truth)) < 10
+
+
+def test_toxicity_defined_cases(spark, make_docs):
+    docs = make_docs([(1, None), (2, ""), (3, "fine words"), (3, "fine words")])
+    none = spark.createDataFrame([(1, None)], "doc_id long, toxic int")
+    scores = [r["score"] for r in toxicity.score(docs, toxicity.fit(docs, none)).collect()]
+    assert len(scores) == 4 and len(set(scores)) == 1 and scores[0] < 0.3
+    assert toxicity.score(make_docs([]), toxicity.fit(make_docs([]), none)).count() == 0
+
+
+# --- 7 page texts ----------------------------------------------------------------------
+
+def pages(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_page_text(spark):
+    page = ("<html><head><title>T</title><style>p{}</style></head><body><nav><a href='/'>Home</a></nav><header>Site</header>"
+            "<div class='cookie-notice'>We use cookies</div><article><h1>Head &amp; more</h1><p>One <b>two\n three</b><br>four"
+            "<p>Five <!-- x --> six<script>if (a</b>) '</p>'</script><ul><li>a<li>b</ul><div class='comments'>first!</div>"
+            "<form><input>Sign</form></article><footer>&copy; me</footer></bo")
+    got = templates.extract(pages(spark, [(1, "http://h/1", page), (2, None, None), (3, "x", ""), (4, "http://h/2", "plain <b>text"), (1, "http://h/1", page)]))
+    want = "Head & more\n\nOne two three four\n\nFive six\n\na\n\nb"
+    assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in got.collect()) == [
+        (1, want, len(want)), (1, want, len(want)), (2, "", 0), (3, "", 0), (4, "plain text", 10)]
+    assert templates.extract(pages(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("limit", [templates.BROADCAST_PAIRS, 0])
+def test_recurring_subtrees_go(spark, monkeypatch, limit):
+    """Without role names: what recurs on a host is deleted there, and only there; by either join."""
+    monkeypatch.setattr(templates, "BROADCAST_PAIRS", limit)
+    rows = [(i, f"http://a.example/{i}", f"<body><div><p>Our shop sells shoes</p></div><p>Story number {i}</p></body>") for i in range(6)]
+    rows.append((9, "http://b.example/", "<body><p>Our shop sells shoes</p></body>"))
+    got = {r["page_id"]: r["text"] for r in templates.extract(pages(spark, rows)).collect()}
+    assert got == {**{i: f"Story number {i}" for i in range(6)}, 9: "Our shop sells shoes"}
+
+
+def test_page_query_against_article_cut(spark):
+    want = {}
+    for page_id, page in table(spark, "pages", "page_id", "html"):
+        body = page.split("<article>")[1].split("</article>")[0].replace("<br>", " ")
+        for tag in ("</h1>", "</p>", "<p>", "<h1>"):
+            body = body.replace(tag, "\0")
+        parts = [" ".join(entities.unescape(__import__("re").sub("<[^>]*>?", "", b)).split()) for b in body.split("\0")]
+        want[page_id] = "\n\n".join(b for b in parts if b)
+    got = {r["page_id"]: r["text"] for r in entry.queries()["op7_site_templates"](spark, SF_SMALL).collect()}
+    assert got == want
+
+
+def test_deep_and_long_pages():
+    for page in ("<div>" * 5000 + "x", "<p" * 20000, "a" * 200000, "<p>x" * 20000, "<!--" * 5000):
+        templates.main_text(templates.parse(page), (), ())
+
+
+# --- 5 secrets -------------------------------------------------------------------------
+
+def secret_docs(make_docs):
+    rnd = random.Random(3)
+    hexa = lambda n: "".join(rnd.choices("0123456789abcdef", k=n))
+    rows = []
+    for i in range(60):
+        rows += [(3 * i, f'the key is token = "{hexa(40)}" and more words here'), (3 * i + 1, f"see password={hexa(20)}."),
+                 (3 * i + 2, "internationalization characteristically overcompensation " + rnd.choice(["plainwords", "other"]))]
+    return make_docs(rows + [(900, None), (901, "")]), rows
+
+
+def test_secrets_are_told_from_long_words(spark, make_docs):
+    docs, rows = secret_docs(make_docs)
+    got = secrets.scan(docs.withColumn("label", F.lit("own"))).collect()
+    by = {(r["doc_id"], r["at"]): r["secret"] for r in got}
+    assert len(by) == 60 + 60 + 180
+    assert all(v == (k[0] % 3 != 2) for k, v in by.items())
+
+
+def test_secret_cases_without_labels(make_docs):
+    assert secrets.scan(make_docs([(1, "nothing"), (2, None)])).count() == 0
+    only = secrets.scan(make_docs([(1, "internationalization it is")])).collect()
+    assert [(r["at"], r["probability"], r["secret"]) for r in only] == [(0, 0.0, False)]
+
+
+def test_secret_query_runs_natively(spark):
+    df = entry.queries()["op5_forest_secrets"](spark, SF_SMALL)
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    assert df.where("label = 1 AND NOT secret").count() == 0

@@ -90,9 +90,9 @@ def test_warc_round_trip(spark):
 def test_warc_scanned_in_small_ranges(spark):
     """Ranges that begin anywhere in a record, also within a magic."""
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    rows = [(i, f"u{i}", NASTY[: 40 + 7 * i] + str(i)) for i in range(60)]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "997")
+    rows = [(i, f"u{i}", NASTY[: 40 + 9 * i] + str(i) * 200) for i in range(24)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4999")
     try:
         got = warc.round_trip(df).collect()
     finally:

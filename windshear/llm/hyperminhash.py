@@ -311,8 +311,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without the near duplicates of a smaller id. Of rows with an
-    equal id one stays if its id does; rows with a null id are kept unless copies."""
-    drop = near_duplicates(docs, words, percent).where("NOT kept").select("doc_id").distinct()
-    drop = stored(drop, "drop")
-    return docs.join(F.broadcast(drop) if small_enough(drop) else drop, "doc_id", "left_anti")
+    """The rows of ``docs`` without the near duplicates of a smaller id, columns unchanged. Rows
+    that repeat id and text stay once; an id with several texts goes only if all of them
+    are duplicates; rows with a null id stay."""
+    near = stored(near_duplicates(docs, words, percent).where("doc_id IS NOT NULL")
+                  .groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "kept")
+    drop = near.where("NOT kept").select("doc_id")
+    out = docs.join(F.broadcast(drop) if small_enough(drop) else drop, "doc_id", "left_anti").select(*docs.columns)
+    many = near.where("kept AND rows > 1").select("doc_id")
+    if many.isEmpty():
+        return out
+    side = F.broadcast(many) if small_enough(many) else many
+    repeated = out.join(side, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return out.join(side, "doc_id", "left_anti").select(*docs.columns).union(repeated)

@@ -38,7 +38,7 @@ from windshear.llm.common import map_rows, share, stored
 
 SHARE, LEAST_PAGES = 0.01, 3
 MAIN_SHARE, MAIN_LEAST_PAGES = 0.5, 20
-BROADCAST_PAIRS = 1_000_000
+BROADCAST_PAIRS = 200_000
 
 # Element names of HTML by how their content is treated.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())

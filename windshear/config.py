@@ -83,8 +83,8 @@ class HubConfig:
     # Also snap weather observations to the grid before joining.
     snap_weather: bool = False
     # Weather keys with more rows than this are split over salt buckets
-    # (None: plain left join, flight-side skew left to AQE).
-    hot_key_rows: int | None = None
+    # (None: plain left join; then only flight-side skew is split, by AQE).
+    hot_key_rows: int | None = 100_000
     salt_buckets: int = 16
     # Byte limit under which a join side is broadcast (checked on the plan).
     broadcast_limit: int = 64 * 1024 * 1024

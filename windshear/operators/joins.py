@@ -99,42 +99,39 @@ def attach_weather_split(flights: DataFrame, weather: DataFrame, *, hot_key_rows
                          limit_bytes: int = 64 << 20) -> DataFrame:
     """J1 with hot keys split over ``buckets`` tasks; same rows as ``attach_weather``.
 
-    A key with more than ``hot_key_rows`` weather rows is hot (the hot-key set
-    has at most rows / ``hot_key_rows`` entries and is broadcast only under
-    ``limit_bytes``). Cold keys take the plain left join. At a hot key the
-    weather is reduced to distinct rows with a multiplicity (a partial
-    aggregate), multiplicities are cut into chunks of ``chunk_rows``, and each
-    chunk is hashed to a bucket; each flight at a hot key is copied once per
-    bucket and meets each chunk in exactly one bucket, where the chunk is
-    expanded back to its rows. So neither many distinct observations nor
-    many identical copies of one land in a single task. Every flight at a hot
-    key has weather, so the hot part needs no unmatched rows.
+    The weather is reduced to distinct rows with a multiplicity (a partial
+    aggregate). A key with more than ``hot_key_rows`` observations is hot; the
+    hot-key set has at most rows / ``hot_key_rows`` entries and is broadcast
+    only under ``limit_bytes``. At a hot key, multiplicities are cut into
+    chunks of ``chunk_rows``, each chunk is hashed to a bucket, and each flight is copied
+    once per bucket, so that it meets each chunk in exactly one bucket; other
+    keys have the one bucket 0. One left join on (key, bucket) follows, and
+    each chunk is expanded back to its rows. So neither many distinct
+    observations nor many identical copies of one land in a single task.
+    Every flight at a hot key has weather, so its buckets without any are dropped.
     """
     key = "time_interval"
     wcols = [c for c in weather.columns if c != key]
-    per_key = weather.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    distinct_rows = weather.groupBy(key, *wcols).agg(F.count(F.lit(1)).alias("_m"))
+    per_key = distinct_rows.groupBy(key).agg(F.sum("_m").alias("_n"))
     hot = broadcast_if_small(per_key.where(F.col("_n") > hot_key_rows).select(key, F.lit(True).alias("_hot")),
                              limit_bytes)
-    f = flights.join(hot, on=key, how="left")
-    w = weather.join(hot, on=key, how="left")
+    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
 
-    cold = f.where(F.col("_hot").isNull()).drop("_hot").join(
-        w.where(F.col("_hot").isNull()).drop("_hot"), on=key, how="left")
-
-    distinct_rows = w.where(F.col("_hot")).groupBy(key, *wcols).agg(F.count(F.lit(1)).alias("_m"))
-    n_chunks = F.ceil(F.col("_m") / F.lit(chunk_rows)).cast("int")
-    chunks = (distinct_rows
+    n_chunks = F.when(is_hot, F.ceil(F.col("_m") / F.lit(chunk_rows)).cast("int")).otherwise(F.lit(1))
+    chunks = (distinct_rows.join(hot, on=key, how="left")
               .withColumn("_chunk", F.explode(F.sequence(F.lit(0), n_chunks - 1)))
-              .withColumn("_cnt", F.least(F.lit(chunk_rows).cast("long"),
-                                          F.col("_m") - F.col("_chunk") * chunk_rows).cast("int"))
-              .withColumn("_salt", F.pmod(F.xxhash64(key, *wcols, "_chunk"), F.lit(buckets)).cast("int"))
-              .drop("_m", "_chunk"))
-    copies = (f.where(F.col("_hot")).drop("_hot")
-              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))))
-    hot_part = (copies.join(chunks, on=[key, "_salt"], how="inner")
-                .withColumn("_rep", F.explode(F.array_repeat(F.lit(0), F.col("_cnt"))))
-                .drop("_salt", "_cnt", "_rep"))
-    return cold.unionByName(hot_part)
+              .withColumn("_cnt", F.when(is_hot, F.least(F.lit(chunk_rows).cast("long"), F.col("_m") - F.col("_chunk") * chunk_rows))
+                          .otherwise(F.col("_m")).cast("int"))
+              .withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(key, *wcols, "_chunk"), F.lit(buckets))).otherwise(F.lit(0)).cast("int"))
+              .drop("_m", "_chunk", "_hot"))
+    last = F.when(is_hot, F.lit(buckets - 1)).otherwise(F.lit(0))
+    copies = (flights.join(hot, on=key, how="left")
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), last))))
+    return (copies.join(chunks, on=[key, "_salt"], how="left")
+            .where(~is_hot | F.col("_cnt").isNotNull())
+            .withColumn("_rep", F.explode(F.array_repeat(F.lit(0), F.coalesce(F.col("_cnt"), F.lit(1)))))
+            .drop("_salt", "_cnt", "_rep", "_hot"))
 
 
 def weighted_weather(weather: DataFrame, attrs: Sequence[str]) -> DataFrame:

@@ -22,12 +22,12 @@ gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from windshear.llm.common import arrow_schema, ascii_words, map_rows, share, shuffle_parts
 
@@ -47,24 +47,23 @@ _LIMITS = np.array([int(r * 2 ** 64) for r, n in RATES for _ in range(n)], np.ui
 _SEEDS = np.array([(s + 1) * _ODD % 2 ** 64 for s in range(len(_LIMITS))], np.uint64)
 
 
-def term_hash(word: bytes, memo: dict[bytes, int]) -> int:
-    v = memo.get(word)
-    if v is None:
-        if len(memo) > 1_000_000:
-            memo.clear()
-        v = memo[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") >> 1
-    return v
+def terms_of(text: str | None) -> np.ndarray:
+    """The sorted distinct 63-bit hashes of the text's terms."""
+    words = set(ascii_words(text))
+    return np.unique(np.fromiter((xxh3_64_intdigest(w) >> 1 for w in words), np.int64, len(words)))
+
+
+def members(terms: np.ndarray) -> np.ndarray:
+    """Which subsets keep which term: a (term, subset) matrix of 0 and 1."""
+    return (_mix(terms.view(np.uint64)[:, None] + _SEEDS[None, :]) < _LIMITS[None, :]).astype(np.uint8)
 
 
 def lexicon(docs: DataFrame, rare: float = RARE, common: float = COMMON) -> np.ndarray:
     """Sorted hashes of the terms in the band, from the document frequencies of all rows."""
-    memo: dict[bytes, int] = {}
-
     def count(cols):
-        c = Counter()
-        for t in cols["text"]:
-            c.update({term_hash(w, memo) for w in set(ascii_words(t))})
-        return {"term": list(c.keys()), "n": list(c.values())}
+        found = [terms_of(t) for t in cols["text"]]
+        terms, n = np.unique(np.concatenate(found), return_counts=True)
+        return {"term": terms, "n": n}
 
     total = docs.count()
     df = map_rows(docs, count, "term long, n long", ["text"], chunk=4096).groupBy("term").agg(F.sum("n").alias("n"))
@@ -75,20 +74,34 @@ def lexicon(docs: DataFrame, rare: float = RARE, common: float = COMMON) -> np.n
     return np.sort(rows.column("term").to_numpy())
 
 
-def fingerprint(text: str | None, lex: np.ndarray, memo: dict[bytes, int]) -> np.ndarray:
-    """One 32-bit hash per lexicon subset; 0 where the document has no term in it."""
-    terms = np.array(sorted({term_hash(w, memo) for w in set(ascii_words(text))}), np.int64)
-    if len(terms) and len(lex):
-        inside = lex[np.minimum(np.searchsorted(lex, terms), len(lex) - 1)] == terms
+class Lexicon:
+    """The sorted terms of the band and, packed to one bit per subset, the subsets that keep each."""
+
+    def __init__(self, terms: np.ndarray):
+        self.terms = terms
+        step = 100_000
+        packed = [np.packbits(members(terms[i:i + step]), axis=1) for i in range(0, len(terms), step)]
+        self.kept = np.concatenate(packed) if packed else np.empty((0, len(_SEEDS) // 8), np.uint8)
+
+
+def fingerprint(text: str | None, lex: Lexicon) -> np.ndarray:
+    """One 32-bit hash per lexicon subset, of the sum of its terms' hashes (the terms
+    are distinct, so their order is of no account); 0 where the document has no term in it."""
+    terms = terms_of(text)
+    bits = None
+    if len(terms) and len(lex.terms):
+        at = np.minimum(np.searchsorted(lex.terms, terms), len(lex.terms) - 1)
+        inside = lex.terms[at] == terms
         if inside.any():
             terms = terms[inside]
-    out = np.zeros(len(_SEEDS), np.uint32)
+            bits = np.unpackbits(lex.kept[at[inside]], axis=1)
     if not len(terms):
-        return out
-    member = _mix(terms.view(np.uint64)[None, :] + _SEEDS[:, None]) < _LIMITS[:, None]
-    for s in np.flatnonzero(member.any(1)).tolist():
-        out[s] = int.from_bytes(hashlib.blake2b(terms[member[s]].tobytes(), digest_size=4).digest(), "little") or 1
-    return out
+        return np.zeros(len(_SEEDS), np.uint32)
+    if bits is None:
+        bits = members(terms)
+    total = (_mix(terms.view(np.uint64))[:, None] * bits).sum(0, dtype=np.uint64)
+    out = np.maximum(_mix(total + _SEEDS) >> np.uint64(32), np.uint64(1)).astype(np.uint32)
+    return np.where(bits.any(0), out, np.uint32(0))
 
 
 def as_text(f: np.ndarray) -> str:
@@ -137,9 +150,8 @@ PRINTED = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: its fingerprint, that of its edited text (the last third replaced by the
     start of the next document by descending id) and the likeness to it and to the next document."""
-    get = share(docs.sparkSession, lexicon(docs))
+    get = share(docs.sparkSession, Lexicon(lexicon(docs)))
     arrow = arrow_schema(docs.sparkSession, PRINTED)
-    memo: dict[bytes, int] = {}
 
     def run(batches):
         lex = get()
@@ -149,7 +161,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             doc_id, _, own, mine = row
             cut = len(own) // 3
             edited = own[:len(own) - cut] + text[:cut]
-            other = fingerprint(edited, lex, memo)
+            other = fingerprint(edited, lex)
             return (doc_id, len(own), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), as_text(mine), as_text(other),
                     likeness(mine, other, not own.strip(), not edited.strip()),
                     likeness(mine, print_, not own.strip(), not text.strip()))
@@ -160,7 +172,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 text = text or ""
                 if held is None and tail:
                     continue  # further rows of the same first id
-                print_ = fingerprint(text, lex, memo)
+                print_ = fingerprint(text, lex)
                 if held is not None:
                     done.append(finish(held, text, print_, lex))
                 held = None if tail else (doc_id, part, text, print_)

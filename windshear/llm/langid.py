@@ -3,8 +3,8 @@
 A model holds, per language, the log frequency of every word seen at least
 ``LEAST_WORD`` times in the training sample, and of the character n-grams (lengths 5 to 1, word
 edges marked) seen at least ``LEAST_GRAM`` times. A known word scores by its own log
-frequencies. An unseen word backs off: at each of its places the longest
-known n-gram counts, and the mean over the places stands for the word. The language
+frequencies. An unseen word backs off: from its start the longest known n-gram is
+taken again and again, and the mean over these pieces stands for the word. The language
 with the highest sum over the text's words wins (ties: the first by name); the score is
 its share under a softmax of the mean word scores, sharpened by the number of
 words up to ``SHARP``.
@@ -28,20 +28,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windshear.llm.common import held_out, map_rows, share
+from windshear.llm.common import held_out, map_rows, share, stored
 
-SAMPLE_ROWS = 10_000
+SAMPLE_ROWS = 5_000
 LEAST_WORD, LEAST_GRAM, LONGEST = 3, 3, 5
 SHARP = 20
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def grams_at(word: str) -> list[str]:
-    """Per place of the marked word its longest n-gram; shorter ones are its prefixes."""
-    w = f"<{word}>"
-    return [w[i:i + LONGEST] for i in range(len(w))]
-
-
 @dataclass
 class Model:
     """Scores per language, aligned with ``langs``; the size is bounded by the training sample."""
@@ -54,14 +48,18 @@ class Model:
         known = self.words.get(word)
         if known is not None:
             return known
-        total = [0.0] * len(self.langs)
-        places = grams_at(word[:200])
-        for g in places:
-            while g and g not in self.grams:
-                g = g[:-1]
-            for k, v in enumerate(self.grams.get(g, self.unknown)):
+        total, pieces, at = [0.0] * len(self.langs), 0, 0
+        marked = f"<{word[:200]}>"
+        while at < len(marked):
+            for n in range(LONGEST, 0, -1):
+                known = self.grams.get(marked[at:at + n])
+                if known is not None:
+                    break
+            for k, v in enumerate(known or self.unknown):
                 total[k] += v
-        return tuple(t / len(places) for t in total)
+            pieces += 1
+            at += n
+        return tuple(t / pieces for t in total)
 
     def predict(self, text: str | None, memo: dict[str, tuple]) -> tuple[str, float]:
         counts = Counter(WORD.findall(text.lower())) if text else None
@@ -72,7 +70,7 @@ class Model:
         for w, c in counts.items():
             s = memo.get(w)
             if s is None:
-                if len(memo) > 300_000:
+                if len(memo) > 500_000:
                     memo.clear()
                 s = memo[w] = self.word_scores(w)
             n += c
@@ -83,18 +81,27 @@ class Model:
         return self.langs[best], 1 / sum(math.exp(max(-700.0, (t - total[best]) * sharp)) for t in total)
 
 
-def _counts(cols):
-    words, grams = Counter(), Counter()
+def _word_counts(cols):
+    words = Counter()
     for text, lang in zip(cols["text"], cols["lang"]):
-        ws = Counter(WORD.findall(text.lower()))
-        for w, c in ws.items():
-            words[w, lang] += c
-            for g in grams_at(w[:200]):
-                for n in range(1, len(g) + 1):
-                    grams[g[:n], lang] += c
-    keys = [*words, *grams]
-    return {"kind": ["w"] * len(words) + ["g"] * len(grams), "item": [k[0] for k in keys],
-            "lang": [k[1] for k in keys], "n": [*words.values(), *grams.values()]}
+        words.update((w, lang) for w in WORD.findall(text.lower()))
+    return {"item": [k[0] for k in words], "lang": [k[1] for k in words], "n": list(words.values())}
+
+
+def _gram_counts(cols):
+    grams = Counter()
+    for word, lang, n in zip(cols["item"], cols["lang"], cols["n"]):
+        w = f"<{word[:200]}>"
+        for i in range(len(w)):
+            for k in range(1, min(LONGEST, len(w) - i) + 1):
+                grams[w[i:i + k], lang] += n
+    return {"item": [k[0] for k in grams], "lang": [k[1] for k in grams], "n": list(grams.values())}
+
+
+def _collected(counts: DataFrame, least: int) -> list:
+    """``(item, [(lang, n)])`` of the items seen at least ``least`` times."""
+    each = counts.groupBy("item").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by"))
+    return each.where(F.col("all") >= least).select("item", "by").collect()
 
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
@@ -102,15 +109,16 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     # The smallest hashed ids: ids first, so that no text is sorted.
     picked = usable.select("doc_id").distinct().withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(rows).select("doc_id")
     sample = usable.select("doc_id", "text", "lang").join(F.broadcast(picked), "doc_id")
-    counts = (map_rows(sample, _counts, "kind string, item string, lang string, n long", ["text", "lang"], chunk=256)
-              .groupBy("kind", "item", "lang").agg(F.sum("n").alias("n")))
-    each = counts.groupBy("kind", "item").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by"))
-    least = F.when(F.col("kind") == "w", LEAST_WORD).otherwise(LEAST_GRAM)
-    got = each.where(F.col("all") >= least).select("kind", "item", "by").collect()
+    schema = "item string, lang string, n long"
+    by_item = lambda df: df.groupBy("item", "lang").agg(F.sum("n").alias("n"))
+    word_counts = stored(by_item(map_rows(sample, _word_counts, schema, ["text", "lang"], chunk=1024)), "words")
+    gram_counts = by_item(map_rows(word_counts, _gram_counts, schema, ["item", "lang", "n"], chunk=8192))
+    got = [("w", r["item"], r["by"]) for r in _collected(word_counts, LEAST_WORD)]
+    got += [("g", r["item"], r["by"]) for r in _collected(gram_counts, LEAST_GRAM)]
     totals = defaultdict(float)
-    for r in got:
-        for x in r["by"]:
-            totals[r["kind"], len(r["item"]) if r["kind"] == "g" else 0, x["lang"]] += x["n"]
+    for kind, item, by in got:
+        for x in by:
+            totals[kind, len(item) if kind == "g" else 0, x["lang"]] += x["n"]
     langs = sorted({k[2] for k in totals})
 
     def scores(kind: str, item: str, by) -> tuple:
@@ -118,8 +126,8 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
         n = {x["lang"]: x["n"] for x in by}
         return tuple(round(math.log((n.get(g, 0) + 0.5) / (totals.get((kind, size, g), 0.0) + 1.0)), 4) for g in langs)
 
-    words = {r["item"]: scores("w", r["item"], r["by"]) for r in got if r["kind"] == "w"}
-    grams = {r["item"]: scores("g", r["item"], r["by"]) for r in got if r["kind"] == "g"}
+    words = {item: scores(kind, item, by) for kind, item, by in got if kind == "w"}
+    grams = {item: scores(kind, item, by) for kind, item, by in got if kind == "g"}
     return Model(langs, words, grams, tuple(0.0 for _ in langs))
 
 

@@ -153,6 +153,28 @@ def test_recurring_subtrees_go(spark, monkeypatch, limit):
     assert got == {**{i: f"Story number {i}" for i in range(6)}, 9: "Our shop sells shoes"}
 
 
+def test_copies_and_quotes_are_no_template(spark):
+    """Copies, near copies and quotes stay whole, in main elements and without; real templates still go."""
+    words = lambda i, n=12: " ".join(f"w{i}x{j}" for j in range(n))
+    rows, want = [], {}
+
+    def add(host, blocks, tag, template="", copies=1):
+        for _ in range(copies):
+            body = "".join(f"<p>{b}</p>" for b in blocks)
+            rows.append((len(rows), f"http://{host}/{len(rows)}", f"<body><{tag}>{body}{template and f'<p>{template}</p>'}</{tag}></body>"))
+            want[len(rows) - 1] = "\n\n".join(blocks)
+
+    for host, tag in (("main.example", "article"), ("bare.example", "div")):
+        add(host, ["the copied story", words("c"), words("d")], tag, copies=60)
+        for i in range(30):  # near copies: one line differs
+            add(host, [f"printed {i}", *(words(f"n{k}") for k in range(4))], tag, "read us daily")
+        for i in range(40):
+            add(host, [words(i), words(f"{i}y"), *(["a passage that three rightly quote"] if i < 3 else [])], tag, "read us daily")
+    add("small.example", ["alone", words("s")], "div", copies=3)
+    got = {r["page_id"]: r["text"] for r in templates.extract(pages(spark, rows)).collect()}
+    assert got == want
+
+
 def test_page_query_against_article_cut(spark):
     want = {}
     for page_id, page in table(spark, "pages", "page_id", "html"):

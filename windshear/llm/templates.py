@@ -2,12 +2,14 @@
 
 1. Each page is parsed leniently into elements; every element with text or
    a class gets a hash over its tag, class and content, bottom up.
-2. Spark counts, per host, on how many pages each hash occurs (one partial
-   count per task and hash, so a hot host costs no more than others).
-3. A subtree that recurs on many pages of its host is template and deleted:
-   outside the main element from ``SHARE`` of the host's pages, at least
-   ``LEAST_PAGES``; inside it only from ``MAIN_SHARE``, at least ``MAIN_LEAST_PAGES``, as articles of one host
-   may rightly quote the same paragraph.
+2. Pages of a host with the same main text are one content, so copies of an article
+   count once. Spark counts, per host, in how many contents each hash occurs.
+3. A subtree that recurs in many contents of its host is a candidate: in half of them
+   (at least ``LEAST_PAGES``) or in ``SHARE`` of them (at least ``MAIN_LEAST_PAGES``); inside the main element
+   only from ``MAIN_SHARE``, at least ``MAIN_LEAST_PAGES``, as articles of one host may rightly quote the same
+   paragraph. It is template, and deleted, if it is as frequent among the contents that stay articles
+   of their own: those that keep ``OWN`` of their text (``MAIN_OWN`` inside main elements) without all
+   candidates. Near copies of an article keep only what differs, so they prove no template.
 4. Elements that name their own role go without counting, as hosts with few
    pages have no statistics: menus, page headers, footers, sidebars, forms,
    scripts, styles, and elements whose class, id or role says advert, notice, comment and the like.
@@ -20,7 +22,7 @@ less; else each page's template hashes are joined to it and back to the page.
 
 Defined cases: null and empty html give an empty text; a null url, or one
 without host, belongs to the host ""; markup cut off at the end of a page is
-dropped; repeated rows count as pages of their own and are all returned; an
+dropped; repeated rows count once and are all returned; an
 empty table gives no rows; extra columns are ignored.
 """
 
@@ -34,10 +36,11 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windshear.llm.common import map_rows, share, stored
+from windshear.llm.common import map_rows, share, small_enough, stored
 
-SHARE, LEAST_PAGES = 0.01, 3
+SHARE, LEAST_PAGES = 0.1, 3
 MAIN_SHARE, MAIN_LEAST_PAGES = 0.5, 20
+OWN, MAIN_OWN = 0.25, 0.5
 BROADCAST_PAIRS = 200_000
 
 # Element names of HTML by how their content is treated.
@@ -154,16 +157,27 @@ def _is_main(e: Element) -> bool:
 
 def subtrees(root: Element):
     """``(digest, in main)`` of the elements that may be template: blocks and marked ones with content."""
-    todo = [(root, False)]
+    return ((d, inside) for d, inside, _ in sized_subtrees(root))
+
+
+def sized_subtrees(root: Element) -> list[tuple[int, bool, int]]:
+    """``(digest, in main, characters)`` per element that may be template: the
+    characters of its text that no smaller such element holds and no role drops."""
+    top = [root.digest, False, 0]  # text of the body itself
+    found, todo = [], [(root, False, False, top)]
     while todo:
-        e, inside = todo.pop()
+        e, inside, gone, holder = todo.pop()
         for c in e.children:
-            if isinstance(c, Element):
-                here = inside or _is_main(c)
-                if c.tag not in RAW:
-                    if (c.tag in BLOCK or c.marks) and c.children and c.tag not in ("body", "head"):
-                        yield c.digest, here
-                    todo.append((c, here))
+            if not isinstance(c, Element):
+                if not gone:
+                    holder[2] += len("".join(c.split()))
+            elif c.tag not in RAW:
+                here, own = inside or _is_main(c), holder
+                if (c.tag in BLOCK or c.marks) and c.children and c.tag not in ("body", "head"):
+                    own = [c.digest, here, 0]
+                    found.append(own)
+                todo.append((c, here, gone or _aside(c, inside), own))
+    return [tuple(x) for x in ([top] if top[2] else []) + found]
 
 
 def main_text(root: Element, template, main_template) -> str:
@@ -215,23 +229,60 @@ def _host(url):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def template_table(pages: DataFrame, share_: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
-    """``(host, digest, inner)``: recurring subtrees; ``inner`` if also deleted inside main elements."""
-    def count(cols):
-        seen = Counter()
+def contents(pages: DataFrame) -> DataFrame:
+    """``(host, content, subs, bare)``: the distinct main texts of each host with the subtrees of one of
+    their pages (the same one in each run); ``bare`` if that page has no text in a main element."""
+    def run(cols):
+        seen = {}
         for host, page in zip(cols["host"], cols["html"]):
-            seen[host, 0, False] += 1
-            seen.update({(host, d, i) for d, i in subtrees(parse(page))})
-        keys = list(seen)
-        return {"host": [k[0] for k in keys], "digest": [k[1] for k in keys], "inner": [k[2] for k in keys], "n": list(seen.values())}
+            root = parse(page)
+            text = hashlib.blake2b(main_text(root, (), ()).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+            subs = sorted(_merged(sized_subtrees(root)))
+            seen[host, text] = max(subs, seen.get((host, text), subs))
+        return {"host": [k[0] for k in seen], "content": [k[1] for k in seen], "subs": list(seen.values())}
 
     rows = pages.select(_host(F.col("url")).alias("host"), "html")
-    counts = stored(map_rows(rows, count, "host string, digest long, inner boolean, n long", ["host", "html"], chunk=2048)
-                    .groupBy("host", "digest", "inner").agg(F.sum("n").alias("n")).where("n >= 2 OR digest = 0"), "subtrees")
-    hosts = counts.where("digest = 0").select("host", F.col("n").alias("pages"))
-    need = F.when(F.col("inner"), F.greatest(F.lit(float(MAIN_LEAST_PAGES)), MAIN_SHARE * F.col("pages"))).otherwise(
-        F.greatest(F.lit(float(least)), share_ * F.col("pages")))
-    return counts.where("digest <> 0 AND n >= 2").join(hosts, "host").where(F.col("n") >= need).select("host", "digest", "inner")
+    schema = "host string, content string, subs array<struct<digest:long,inner:boolean,chars:long>>"
+    return (map_rows(rows, run, schema, ["host", "html"], chunk=2048).groupBy("host", "content").agg(F.max("subs").alias("subs"))
+            .withColumn("bare", ~F.exists("subs", lambda x: x["inner"] & (x["chars"] > 0))))
+
+
+def _merged(subs) -> list[tuple[int, bool, int]]:
+    # A subtree that stands several times on a page counts once, with the text of all.
+    chars = Counter()
+    for d, inside, n in subs:
+        chars[d, inside] += n
+    return [(d, inside, n) for (d, inside), n in chars.items()]
+
+
+def template_table(pages: DataFrame, share_: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
+    """``(host, digest, inner)``: recurring subtrees; ``inner`` if also deleted inside main elements."""
+    known = stored(contents(pages), "contents")
+    key = ["host", "digest", "inner"]
+
+    def frequent(subs: DataFrame, hosts: DataFrame) -> DataFrame:
+        n, total = F.col("n"), F.col("pages")
+        inner = n >= F.greatest(F.lit(float(MAIN_LEAST_PAGES)), MAIN_SHARE * total)
+        outer = ((n >= least) & (n >= MAIN_SHARE * total)) | (n >= F.greatest(F.lit(float(MAIN_LEAST_PAGES)), share_ * total))
+        counts = subs.groupBy(*key).agg(F.count("*").alias("n")).where("n >= 2")
+        return counts.join(hosts, "host").where(F.when(F.col("inner"), inner).otherwise(outer)).select(*key)
+
+    def per_host(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("host").agg(F.count("*").alias("pages"))
+
+    each = known.select("host", "content", "bare", F.explode("subs").alias("x")).select("host", "content", "bare", "x.*")
+    candidates = stored(frequent(each, per_host(known)), "candidates")
+    marked = candidates.withColumn("candidate", F.lit(True))
+    if small_enough(candidates):
+        marked = F.broadcast(marked)
+    # Only text that can be returned counts: of main elements, or of all where there is none.
+    shown = each.where(F.col("inner") | F.col("bare")).where("chars > 0")
+    kept = F.sum(F.when(F.col("candidate").isNull(), F.col("chars")).otherwise(0))
+    own = (shown.join(marked, key, "left").groupBy("host", "content", "bare").agg(kept.alias("kept"), F.sum("chars").alias("chars"))
+           .where(F.col("kept") >= F.when(F.col("bare"), OWN).otherwise(MAIN_OWN) * F.col("chars")).select("host", "content"))
+    articles = stored(known.join(own, ["host", "content"]), "articles")
+    subs = articles.select("host", F.explode("subs").alias("x")).select("host", "x.*")
+    return frequent(subs, per_host(articles)).join(candidates, key, "left_semi")
 
 
 EXTRACTED = "page_id long, url string, text string, n_chars long"

@@ -1,7 +1,7 @@
 """Secret candidates and a random forest that removes false positives.
 
-Candidates are the runs of at least ``LEAST`` characters ``A-Z a-z 0-9 + / _ -`` that end a word of
-the text, up to closing punctuation. Each is described by
+Candidates are all runs of at least ``LEAST`` characters ``A-Z a-z 0-9 + / _ -``, wherever they stand
+in a word of the text and however many the word has. Each is described by
 
 * its length, shares of digits, capitals and distinct characters, and whether it is hexadecimal;
 * character transitions: changes between lower case, capitals and digits per character;
@@ -9,7 +9,10 @@ the text, up to closing punctuation. Each is described by
   corpus (words on at least ``COMMON`` of all documents; by the mean number
   of distinct words this list has at most mean / ``COMMON`` entries);
 * the path: whether the source names tests or examples, or configuration;
-* neighbouring words: a key name, an assignment or quotes before it, words like "example" around it.
+* what stands beside it: a key name, an assignment or quotes before it, words like "example" around it.
+  That is the rest of its word as far as the next run, which is included, and the neighbouring words; of
+  these, runs that do not stand next to them see the nearest ``NEAR`` characters, so that words of
+  many runs stay linear.
 
 The forest is trained on labelled findings, at most ``SAMPLE_ROWS`` of each class by smallest
 hash. Without given labels, findings are labelled where a rule is
@@ -35,12 +38,13 @@ from windshear.llm.common import stored
 
 LEAST = 16
 COMMON = 0.005
+NEAR = 64
 SAMPLE_ROWS = 10_000
 TREES, DEPTH, SEED = 30, 6, 7
 
 _SPACE = r"[\x20\x09-\x0D]+"
 # Possessive and bound to the start of a run, so that long words cost linear time.
-_RUN = rf"(?<![A-Za-z0-9+/_\-])([A-Za-z0-9+/_\-]{{{LEAST},}}+)=*+[\"'`,.;:!?)\]}}>]*+$"
+_RUN = rf"(?<![A-Za-z0-9+/_\-])([A-Za-z0-9+/_\-]{{{LEAST},}}+)"
 # Words that name a secret, and words that mark an example.
 _KEY = r"(?i)(pass|pwd|secret|token|api.?key|apikey|access.?key|auth|cred|bearer|private)"
 _EXAMPLE = r"(?i)(example|sample|dummy|placeholder|your|fake|xxxx|test)"
@@ -54,7 +58,8 @@ def _flag(c: Column) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """One row per candidate: ``(doc_id, source, at, value, lead, before, before2, after)``; ``at`` is the word's number."""
+    """One row per candidate: ``(doc_id, source, at, place, value, lead, before, before2, after)``; ``at`` is
+    the word's number and ``place`` the run's within the word."""
     words = F.split(F.coalesce("text", F.lit("")), _SPACE)
     word = lambda i: F.coalesce(F.get("w", i), F.lit(""))
     likely = F.filter(F.transform("w", lambda x, i: F.when((F.length(x) >= LEAST) & x.rlike(_RUN), i)), lambda i: i.isNotNull())
@@ -62,8 +67,16 @@ def candidates(docs: DataFrame) -> DataFrame:
                                                word(i - 2).alias("before2"), word(i + 1).alias("after")))
     rows = (docs.select("doc_id", "source", words.alias("w")).select("doc_id", "source", "w", likely.alias("i"))
             .where(F.size("i") > 0).select("doc_id", "source", F.explode(near).alias("c")).select("doc_id", "source", "c.*"))
-    value = F.regexp_extract("word", _RUN, 1)
-    return rows.withColumn("value", value).withColumn("lead", F.regexp_replace("word", _RUN, "")).drop("word")
+    cut = rows.withColumns({"runs": F.regexp_extract_all("word", F.lit(_RUN), F.lit(1)), "gaps": F.split("word", _RUN)}).drop("word")
+    run = lambda i: F.coalesce(F.get("runs", i), F.lit(""))
+    parts = F.transform("runs", lambda v, i: F.struct(i.cast("long").alias("place"), v.alias("value"),
+                                                      F.concat(run(i - 1), F.get("gaps", i)).alias("lead"),
+                                                      F.concat(F.get("gaps", i + 1), run(i + 1)).alias("tail"),
+                                                      F.when(i == 0, F.col("before")).otherwise(F.right("before", F.lit(NEAR))).alias("before"),
+                                                      F.when(i == 0, F.col("before2")).otherwise(F.right("before2", F.lit(NEAR))).alias("before2"),
+                                                      F.when(i == F.size("runs") - 1, F.col("after")).otherwise(F.left("after", F.lit(NEAR))).alias("after")))
+    found = cut.select("doc_id", "source", "at", F.explode(parts).alias("c")).select("doc_id", "source", "at", "c.*")
+    return found.withColumn("after", F.concat_ws(" ", "tail", "after")).drop("tail")
 
 
 def dictionary(docs: DataFrame, common: float = COMMON) -> DataFrame:
@@ -128,7 +141,7 @@ def train(findings: DataFrame, rows: int = SAMPLE_ROWS):
 
 
 def scan(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Every candidate of ``docs(doc_id, text, source)``: ``(doc_id, at, value_sha256, length, label, probability, secret)``."""
+    """Every candidate of ``docs(doc_id, text, source)``: ``(doc_id, at, place, value_sha256, length, label, probability, secret)``."""
     rows = stored(candidates(docs), "candidates")
     found = stored(describe(rows, dictionary(docs)).withColumn("label", rule_label()), "described")
     forest = train(found)
@@ -137,5 +150,5 @@ def scan(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     else:
         scored = forest.transform(VectorAssembler(inputCols=FEATURES, outputCol="x").transform(found))
         scored = scored.withColumn("probability", vector_to_array("probability")[1])
-    return scored.select("doc_id", "at", F.sha2("value", 256).alias("value_sha256"), F.col("length").cast("long").alias("length"),
+    return scored.select("doc_id", "at", "place", F.sha2("value", 256).alias("value_sha256"), F.col("length").cast("long").alias("length"),
                          F.col("label").cast("int").alias("label"), "probability", (F.col("probability") >= threshold).alias("secret"))

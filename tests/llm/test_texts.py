@@ -125,6 +125,18 @@ def test_toxicity_defined_cases(spark, make_docs):
     assert toxicity.score(make_docs([]), toxicity.fit(make_docs([]), none)).count() == 0
 
 
+def test_each_passage_is_scored_on_its_own_words():
+    """Scattered earlier occurrences hide no later passage; a run of one word is still no added evidence."""
+    model = toxicity.Model({"vile": 3.0, "nasty": 3.0, "foul": 3.0}, lam=1.0, k=0.1)
+    quiet = " ".join(["plain"] * 60)
+    bad = "vile nasty foul nasty vile"
+    text = " ".join([f"{w} {quiet}" for w in ("vile", "nasty", "foul") * 3] + [bad, quiet, bad])
+    _, segs, n, best = model.evidence(text, {})
+    significant = [(a, b) for a, b, s in segs if model.e_value(s, n) < toxicity.MAX_E]
+    assert significant == [(n - 70, n - 65), (n - 5, n)]
+    assert model.evidence("vile " * 50, {})[3] == model.evidence("vile vile", {})[3]
+
+
 # --- 7 page texts ----------------------------------------------------------------------
 
 def pages(spark, rows):

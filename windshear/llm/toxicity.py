@@ -6,8 +6,9 @@
    against other documents is taken under an informative Dirichlet prior (the
    feature's own overall rate, ``PRIOR`` pseudo-documents). The score is the
    ratio moved ``SIGMAS`` standard deviations towards 0; features left below ``LEAST_SCORE`` are
-   dropped, and copies of a text count once. A word scores by its strongest kept feature, and only the
-   first ``REPEATS`` times in a text (runs of one word are no added evidence).
+   dropped, and copies of a text count once. A word scores by its strongest kept feature, but not
+   where it stood ``REPEATS`` times in the ``NEARBY`` words before (runs of one word are no added
+   evidence). Farther occurrences do not matter: each passage is scored on its own words.
 2. Segments. Scores less ``DRIFT`` per word have a negative mean, so that the
    linear-time scan of Ruzzo and Tompa yields every maximal-scoring passage.
 3. Calibration. For clean calibration documents ``lambda`` solves
@@ -33,6 +34,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import deque
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -49,6 +51,7 @@ SIGMAS = 2.0
 LEAST_SCORE = 1.2
 LEAST_DOCS = 5
 REPEATS = 2
+NEARBY = 10
 DRIFT = 0.25
 MAX_E = 1.0
 WORD = re.compile(r"[^\W\d_]+")
@@ -120,9 +123,10 @@ class Model:
                     memo.clear()
                 memo[w] = s
             if s:
-                seen[w] = seen.get(w, 0) + 1
-                if seen[w] <= REPEATS:
+                last = seen.setdefault(w, deque(maxlen=REPEATS))
+                if len(last) < REPEATS or i - last[0] > NEARBY:
                     hits.append((i, s - DRIFT))
+                last.append(i)
         segs = maximal_segments(hits, len(words), DRIFT) if hits else []
         total, best = 0.0, 0.0
         for _, _, s in segs:

@@ -74,6 +74,15 @@ def test_language_defined_cases(spark, make_docs):
     assert langid.predict(make_docs([]), model).count() == 0
 
 
+def test_words_of_any_length_count_whole(make_docs):
+    """Text without separators is one word: all of it is learned and judged, not its first 200 letters."""
+    train = make_docs([(i, t, g) for i, (t, g) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 40)])
+    model = langid.fit(train)
+    assert model.predict("the" * 70 + "hundkatze" * 200, {})[0] == "de"
+    learned = langid.fit(make_docs([(i, "a" * 200 + "qzqzqzqz" * 5, "xx") for i in range(20)]))
+    assert "qzqzq" in learned.grams
+
+
 # --- 8 toxicity ------------------------------------------------------------------------
 
 def test_segments_equal_brute_force():

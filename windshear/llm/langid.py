@@ -49,7 +49,7 @@ class Model:
         if known is not None:
             return known
         total, pieces, at = [0.0] * len(self.langs), 0, 0
-        marked = f"<{word[:200]}>"
+        marked = f"<{word}>"
         while at < len(marked):
             for n in range(LONGEST, 0, -1):
                 known = self.grams.get(marked[at:at + n])
@@ -91,7 +91,7 @@ def _word_counts(cols):
 def _gram_counts(cols):
     grams = Counter()
     for word, lang, n in zip(cols["item"], cols["lang"], cols["n"]):
-        w = f"<{word[:200]}>"
+        w = f"<{word}>"
         for i in range(len(w)):
             for k in range(1, min(LONGEST, len(w) - i) + 1):
                 grams[w[i:i + k], lang] += n

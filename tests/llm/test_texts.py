@@ -83,6 +83,19 @@ def test_words_of_any_length_count_whole(make_docs):
     assert "qzqzq" in learned.grams
 
 
+def test_rare_languages_and_texts_beside_copies_are_learned(make_docs):
+    """A language far below 1 in ``rows`` is learned, and copies take one place in the sample."""
+    assert langid.SAMPLE_ROWS >= 10_000
+    rows = [(i, f"the cat and the dog and item {i % 50}", "en") for i in range(600)]
+    rows += [(i, "copied copied words again", "en") for i in range(600, 1800)]
+    rows += [(i, f"harilik metsa kass {'x' * (i % 7)}", "et") for i in range(1800, 1808)]
+    train = make_docs(rows)
+    got = langid.sample(train, 20).collect()
+    assert len({r["text"] for r in got}) == len(got) and sum(r["text"].startswith("copied") for r in got) == 1
+    model = langid.fit(train, 20)
+    assert model.langs == ["en", "et"] and model.predict("metsa kass", {})[0] == "et"
+
+
 # --- 8 toxicity ------------------------------------------------------------------------
 
 def test_segments_equal_brute_force():

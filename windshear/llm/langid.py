@@ -9,9 +9,10 @@ with the highest sum over the text's words wins (ties: the first by name); the s
 its share under a softmax of the mean word scores, sharpened by the number of
 words up to ``SHARP``.
 
-Training reads at most ``SAMPLE_ROWS`` rows with a language, the smallest by
-hashed id, never held-out ones. The id, language and source of a document are
-not inputs of its prediction.
+Training reads distinct texts with a language, never of held-out ids: the ``SAMPLE_ROWS`` with the smallest
+hashes, and of each language all up to ``LANGUAGE_ROWS``, else about as many, by the same hash, so
+that rare languages are learned. A text that stands n times counts 1 + log2(n) times. The id,
+language and source of a document are not inputs of its prediction.
 
 Defined cases: null text and text without letters give ``und`` with score 0; a row with null language
 is not learned from; without any training row every text is ``und``; repeated rows are
@@ -28,9 +29,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windshear.llm.common import held_out, map_rows, share, stored
+from windshear.llm.common import held_out, map_rows, share, small_enough, stored
 
-SAMPLE_ROWS = 5_000
+SAMPLE_ROWS, LANGUAGE_ROWS = 10_000, 1_000
 LEAST_WORD, LEAST_GRAM, LONGEST = 3, 3, 5
 SHARP = 20
 WORD = re.compile(r"[^\W\d_]+")
@@ -83,8 +84,9 @@ class Model:
 
 def _word_counts(cols):
     words = Counter()
-    for text, lang in zip(cols["text"], cols["lang"]):
-        words.update((w, lang) for w in WORD.findall(text.lower()))
+    for text, lang, weight in zip(cols["text"], cols["lang"], cols["weight"]):
+        for w in WORD.findall(text.lower()):
+            words[w, lang] += weight
     return {"item": [k[0] for k in words], "lang": [k[1] for k in words], "n": list(words.values())}
 
 
@@ -104,14 +106,27 @@ def _collected(counts: DataFrame, least: int) -> list:
     return each.where(F.col("all") >= least).select("item", "by").collect()
 
 
-def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
+def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, each: int = LANGUAGE_ROWS) -> DataFrame:
+    """``(text, lang, weight)``: the training texts, each once per language."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-    # The smallest hashed ids: ids first, so that no text is sorted.
-    picked = usable.select("doc_id").distinct().withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(rows).select("doc_id")
-    sample = usable.select("doc_id", "text", "lang").join(F.broadcast(picked), "doc_id")
+    usable = usable.select("doc_id", "text", "lang", F.xxhash64("text").alias("h"))
+    # Hashes first, so that no text is sorted.
+    texts = stored(usable.groupBy("h", "lang").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")), "texts")
+    sizes = texts.groupBy("lang").agg(F.count("*").alias("texts"))
+    if small_enough(sizes):
+        sizes = F.broadcast(sizes)
+    place = F.col("h") / F.lit(2.0 ** 64) + 0.5  # of the hash in 0..1
+    rare = texts.join(sizes, "lang").where((F.col("texts") <= each) | (place < each / F.col("texts"))).select(*texts.columns)
+    picked = rare.union(texts.orderBy("h", "lang").limit(rows)).distinct()
+    picked = stored(picked.withColumn("weight", F.floor(1 + F.log2("n")).cast("long")).drop("n"), "picked")
+    side = F.broadcast(picked) if small_enough(picked) else picked
+    return usable.join(side, ["h", "lang", "doc_id"]).dropDuplicates(["h", "lang"]).select("text", "lang", "weight")
+
+
+def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     schema = "item string, lang string, n long"
     by_item = lambda df: df.groupBy("item", "lang").agg(F.sum("n").alias("n"))
-    word_counts = stored(by_item(map_rows(sample, _word_counts, schema, ["text", "lang"], chunk=1024)), "words")
+    word_counts = stored(by_item(map_rows(sample(docs, rows), _word_counts, schema, ["text", "lang", "weight"], chunk=1024)), "words")
     gram_counts = by_item(map_rows(word_counts, _gram_counts, schema, ["item", "lang", "n"], chunk=8192))
     got = [("w", r["item"], r["by"]) for r in _collected(word_counts, LEAST_WORD)]
     got += [("g", r["item"], r["by"]) for r in _collected(gram_counts, LEAST_GRAM)]

@@ -86,3 +86,15 @@ def test_query_equals_brute_force(spark):
     digest = lambda names: hashlib.sha256(",".join(names).encode()).hexdigest()
     assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in got), key=str) == sorted(
         ((d, n, h, len(i), digest(i), h > 0) for d, n, h, i in want), key=str)
+
+
+@pytest.mark.parametrize("items", [[], [(1, None)], [(1, "")], [(1, "one two three " * 9)]])
+@pytest.mark.parametrize("limit", [sx.CHUNK_WORDS, 3])
+def test_empty_benchmarks_and_chunks_match_nothing(spark, make_docs, monkeypatch, items, limit):
+    """With the small limit most of the nine chunks of a single long item are empty."""
+    monkeypatch.setattr(sx, "CHUNK_WORDS", limit)
+    docs = [(1, "four five six"), (1, "four five six"), (2, None), (None, items[0][1] if items else "x")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert rows(sx.contamination(make_docs(docs), bench)) == brute(docs, items)
+    left = sorted(str(r["doc_id"]) for r in sx.keep_uncontaminated(make_docs(docs), bench).collect())
+    assert left == (["1", "1", "2"] if items and len(items[0][1] or "") > 9 else ["1", "1", "2", "None"])

@@ -15,7 +15,8 @@ but not none, is one window. A document word inside any window's place is hit.
 
 The benchmark travels to the tasks in chunks of at most ``CHUNK_WORDS`` words,
 so that memory stays bounded for a benchmark of any size; each chunk scans
-the documents once.
+the documents once, and the scan of one ends before the next is read. Of several chunks, Spark
+merges the hit places by document.
 
 Defined cases: null and empty texts and items have no words and match nothing;
 repeated documents are each reported, repeated items each listed (equal ids
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windshear.llm.common import arrow_schema, share
+from windshear.llm.common import arrow_schema, map_rows, share, stored
 
 SHARD_WORDS = 400_000
 CHUNK_WORDS = 2_000_000
@@ -82,6 +83,8 @@ def search(text_ids: np.ndarray, p: Probe):
     text = np.append(text_ids, np.zeros(1, np.int64))
     wide = np.int64(len(p.vocab) + 1)
     starts = np.flatnonzero((p.window > 0) | (p.left > 0))
+    if not len(starts):
+        return
     pairs = np.unique(p.ids[:-1] * wide + p.ids[1:])
     singles = np.unique(p.ids[(p.left == 1)])
     first, second = text[:-1], text[1:]
@@ -167,13 +170,16 @@ def match_shard(docs_words: list[list[bytes]], p: Probe):
 
 
 def _chunks(benchmark: DataFrame):
-    """The benchmark's items, in driver-sized chunks by their running number of words."""
+    """The number of driver-sized chunks of the benchmark's items, and a reader of one chunk's items."""
     size = F.greatest(F.size(F.split(F.coalesce("text", F.lit("")), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")), F.lit(1))
     total = benchmark.agg(F.sum(size)).first()[0] or 0
     n = -(-total // CHUNK_WORDS) or 1
-    for k in range(n):
+
+    def items(k: int) -> list[tuple]:
         part = benchmark if n == 1 else benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield [(r["item_id"], r["text"]) for r in part.select("item_id", "text").collect()]
+        return [(r["item_id"], r["text"]) for r in part.select("item_id", "text").collect()]
+
+    return n, items
 
 
 MATCHED = "doc_id long, n_words long, n_hit long, items array<string>, longest long, longest_at long, longest_item string"
@@ -217,41 +223,64 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
     """Per row of ``docs``: ``(doc_id, n_words, n_hit, items, longest, longest_at,
     longest_item)``; ``longest`` counts the words of the longest verbatim match of at
     least three words, at word ``longest_at``."""
-    parts = list(_chunks(benchmark))
-    if len(parts) == 1:
-        return _matches(docs, parts[0], size, False)
-    # Several chunks: hits can overlap across chunks, so each document is searched for one chunk after
-    # another within the same task.
-    return _many(docs, parts, size)
-
-
-def _many(docs: DataFrame, parts: list[list[tuple]], size: int) -> DataFrame:
-    getters = [share(docs.sparkSession, probe(items, size)) for items in parts]
-    arrow = arrow_schema(docs.sparkSession, MATCHED)
+    n, items = _chunks(benchmark)
+    if n == 1:
+        return _matches(docs, items(0), size, False)
+    # Hits can overlap across chunks, so their places are merged by document.
+    found = _found(docs, n, items, size, True).groupBy("doc_id", "h").agg(
+        F.max("n_words").alias("n_words"), F.sum((F.col("chunk") == 0).cast("long")).alias("rows"),
+        F.flatten(F.collect_set("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+        F.max(F.struct("longest", (-F.col("chunk")).alias("first"), "longest_at", "longest_item")).alias("best"))
+
+    def merge(cols):
+        hits = []
+        for spans in cols["spans"]:
+            total, end = 0, 0
+            for a, b in sorted((x["a"], x["b"]) for x in spans):
+                total += max(0, b - max(a, end))
+                end = max(end, b)
+            hits.append(total)
+        return {**{c: cols[c] for c in inputs if c != "spans"}, "n_hit": hits}
+
+    inputs = ["doc_id", "n_words", "rows", "spans", "items", "longest", "longest_at", "longest_item"]
+    merged = map_rows(found.select("*", "best.*"), merge, f"{MATCHED}, rows long", inputs)
+    one = F.explode(F.sequence(F.lit(1), F.col("rows")))  # repeated documents are each reported
+    return merged.withColumn("_row", one).drop("_row", "rows")
+
+
+FOUND = ("doc_id long, h long, chunk long, n_words long, spans array<struct<a:long,b:long>>, items array<string>, "
+         "longest long, longest_at long, longest_item string")
+
+
+def _found(docs: DataFrame, n: int, items, size: int, all_rows: bool) -> DataFrame:
+    """What each of ``n`` chunks finds, one chunk after another: hit places, items and the longest match of
+    the documents with any; with ``all_rows`` the first chunk has every row."""
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    out = None
+    for k in range(n):
+        get = share(docs.sparkSession, probe(items(k), size))
 
-    def run(batches):
-        for batch in batches:
-            ws = [words(t) for t in batch.column("text").to_pylist()]
-            masks = [np.zeros(len(w), bool) for w in ws]
-            names = [set() for _ in ws]
-            best = [(0, -1, None)] * len(ws)
-            for get in getters:
-                p = get()
-                for d, (_, mask, its, far) in enumerate(match_shard(ws, p)):
-                    masks[d] |= mask
-                    names[d] |= {str(p.names[i]) for i in its if p.names[i] is not None}
-                    if far[0] > best[d][0]:
-                        best[d] = (far[0], far[1], None if p.names[far[2]] is None else str(p.names[far[2]]))
-            cols = [batch.column("doc_id").to_pylist(), [len(w) for w in ws], [int(m.sum()) for m in masks],
-                    [sorted(n) for n in names], [b[0] for b in best], [b[1] for b in best], [b[2] for b in best]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, arrow)], schema=arrow)
+        def run(cols, k=k, get=get):
+            p, ws = get(), [words(t) for t in cols["text"]]
+            rows = []
+            for doc_id, h, w, (hit, mask, its, best) in zip(cols["doc_id"], cols["h"], ws, match_shard(ws, p)):
+                if hit or best[0] or (all_rows and k == 0):
+                    edges = np.flatnonzero(np.diff(np.r_[False, mask, False].astype(np.int8))).reshape(-1, 2).tolist()
+                    item = None if best[2] < 0 or p.names[best[2]] is None else str(p.names[best[2]])
+                    rows.append((doc_id, h, k, len(w), [{"a": a, "b": b} for a, b in edges],
+                                 sorted({str(p.names[i]) for i in its if p.names[i] is not None}), best[0], best[1], item))
+            names = ["doc_id", "h", "chunk", "n_words", "spans", "items", "longest", "longest_at", "longest_item"]
+            return {c: [r[i] for r in rows] for i, c in enumerate(names)}
 
-    return docs.select("doc_id", "text").mapInArrow(run, MATCHED)
+        part = stored(map_rows(keyed, run, FOUND, ["doc_id", "h", "text"]), f"chunk-{k}")
+        out = part if out is None else out.union(part)
+    return out
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
     """The rows of ``docs`` without any window of the benchmark, columns unchanged."""
-    for items in _chunks(benchmark):
-        docs = _matches(docs, items, size, True)
-    return docs
-
+    n, items = _chunks(benchmark)
+    if n == 1:
+        return _matches(docs, items(0), size, True)
+    hit = _found(docs, n, items, size, False).where(F.size("spans") > 0).select(F.col("doc_id").alias("_d"), F.col("h").alias("_h")).distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_h")), "left_anti")

@@ -12,8 +12,8 @@
 2. Segments. Scores less ``DRIFT`` per word have a negative mean, so that the
    linear-time scan of Ruzzo and Tompa yields every maximal-scoring passage.
 3. Calibration. For clean calibration documents ``lambda`` solves
-   E[exp(lambda * s)] = 1 over their word scores and K is fitted from their best
-   segments, giving each passage an expected number of chance occurrences
+   E[exp(lambda * s)] = 1 over their word scores. K is not fitted: it is the share of
+   them with any positive segment, within 1e-4..1, giving each passage an expected number of chance occurrences
    E = K * n * exp(-lambda * S) (Karlin-Altschul) and a p-value 1 - exp(-E). A
    document's evidence is the sum of -ln p over its significant passages
    (E < ``MAX_E``); a logistic fit over a histogram of that evidence on the
@@ -214,13 +214,11 @@ def _calibrate(model: Model, data: DataFrame) -> None:
     def best(cols):
         memo: dict[str, float] = {}
         got = [get().evidence(t, memo) for t in cols["text"]]
-        return {"toxic": cols["toxic"], "n": [g[2] for g in got], "best": [round(g[3], 1) for g in got]}
+        return {"toxic": cols["toxic"], "best": [round(g[3], 1) for g in got]}
 
-    rows = (map_rows(data, best, "toxic int, n long, best double", ["text", "toxic"])
-            .where("toxic = 0").agg(F.count("*"), F.sum((F.col("best") > 0).cast("int")),
-                                    F.avg(F.exp(F.least(F.col("best") * model.lam, F.lit(50.0)))
-                                          / F.greatest("n", F.lit(1)))).first())
-    # P(S > x) is about K n exp(-lambda x): K is set so that chance segments seen among clean rows are expected.
+    rows = (map_rows(data, best, "toxic int, best double", ["text", "toxic"])
+            .where("toxic = 0").agg(F.count("*"), F.sum((F.col("best") > 0).cast("int"))).first())
+    # P(S > x) is about K n exp(-lambda x); K simplified, see the module's text.
     model.k = min(1.0, max(1e-4, (rows[1] + 1) / (rows[0] + 1))) if rows[0] else 1.0
     get = share(data.sparkSession, model)
 

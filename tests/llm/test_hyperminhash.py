@@ -98,3 +98,24 @@ def test_components_of_a_chain(spark):
     got = {r["node"]: r["root"] for r in components(links).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
     assert components(links.limit(0)).count() == 0
+
+
+def test_an_id_with_several_texts_loses_no_link(make_docs):
+    one, two = ([f"{c}{k}" for k in range(60)] for c in "ab")
+    near = lambda t: " ".join(t[:-1] + ["other"])
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, near(one)), (3, near(two)), (4, "alone " * 9)]
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in hm.near_duplicates(make_docs(rows), 5, 80).collect())
+    assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)]
+    assert sorted(r["doc_id"] for r in hm.keep_one(make_docs(rows), 5, 80).collect()) == [1, 1, 4]
+    # Of an id with several texts, only the duplicate goes.
+    rows[2] = (0, near(one))
+    kept = hm.keep_one(make_docs(rows), 5, 80).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([rows[2], rows[1], rows[4]])
+
+
+def test_many_partners_are_dealt_in_chunks(make_docs, monkeypatch):
+    monkeypatch.setattr(hm, "PARTNERS", 7)
+    monkeypatch.setattr(hm, "PART", 5)
+    monkeypatch.setattr(hm, "LEADERS", 60)
+    rows = texts(9)
+    assert result(hm.near_duplicates(make_docs(rows), 5, 85)) == brute(rows, 85)

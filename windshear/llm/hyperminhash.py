@@ -21,7 +21,8 @@
 
 Defined cases: null, empty and blank texts have no shingles and are linked with
 nothing; a text of fewer words has its whole word sequence as the only shingle; repeated
-rows and ids fall together by their sets, a null id gets no component other than
+rows fall together by their sets; classes are keyed by the digest of their set, so an id with several
+texts has a component for each of them, and none of their links is lost; a null id gets no component other than
 null; an empty table gives no rows; extra columns are ignored by ``near_duplicates``.
 """
 
@@ -30,17 +31,21 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from windshear.llm.common import ascii_words, map_rows, small_enough, stored
+from windshear.llm.common import arrow_schema, ascii_words, map_rows, small_enough, stored
 from windshear.llm.components import components
 
 REPEATS, BUCKETS, ROWS, MANTISSA = 5, 64, 6, 10
 BANDS = BUCKETS // ROWS
 EMPTY = np.uint16(0xFFFF)
 LEADERS = 512
+PARTNERS = 64
+PART = 1024
+WORDS_HELD = 50_000
 PLANES = 4
 SIGMAS = 5
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -71,7 +76,7 @@ def shingles(text: str | None, words: int, memo: dict[bytes, int]) -> np.ndarray
 
 
 def _word(w: bytes, memo: dict[bytes, int]) -> int:
-    if len(memo) > 1_000_000:
+    if len(memo) > WORDS_HELD:
         memo.clear()
     v = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
     memo[w] = v
@@ -145,19 +150,25 @@ def _differing(a: str, b: str) -> Column:
 
 
 def sketch_table(docs: DataFrame, words: int) -> DataFrame:
-    """``(doc_id, n, digest, registers)`` per row of ``docs(doc_id, text)``."""
+    """``(doc_id, tkey, n, digest, registers)`` per row of ``docs(doc_id, text)``; ``tkey`` is a hash of the
+    text, by which the text of a row is found again."""
     memo: dict[bytes, int] = {}
 
     def run(cols):
-        out = {"doc_id": cols["doc_id"], "n": [], "digest": [], "registers": []}
+        out = {"doc_id": cols["doc_id"], "tkey": cols["tkey"], "n": [], "digest": [], "registers": []}
         for t in cols["text"]:
             s = shingles(t, words, memo)
             out["n"].append(len(s))
-            out["digest"].append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+            out["digest"].append(_digest(s) if len(s) else None)
             out["registers"].append(sketch(s).tobytes() if len(s) else None)
         return out
 
-    return map_rows(docs, run, "doc_id long, n long, digest binary, registers binary", ["doc_id", "text"])
+    return map_rows(docs.select("doc_id", "text", F.xxhash64("text").alias("tkey")), run,
+                    "doc_id long, tkey long, n long, digest binary, registers binary", ["doc_id", "text", "tkey"])
+
+
+def _digest(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -172,48 +183,88 @@ def _bands(classes: DataFrame) -> DataFrame:
     return map_rows(classes, run, "band long, id long", ["id", "registers"])
 
 
+def _meet(pairs: DataFrame, data: DataFrame, test) -> DataFrame:
+    """The ``pairs(a, b)`` that ``test(n_a, data_a, n_b, data_b)`` accepts, given ``data(id, n, data)``.
+
+    The partners of an id ``a`` are cut into chunks of about ``PARTNERS``; into each chunk the
+    data of ``a`` travel once, ahead of the partners' own, and a task holds those of one ``a`` at a time.
+    So an id with very many partners is spread over many tasks, and no joined row holds two data."""
+    many = pairs.groupBy("a").agg(F.count("*").alias("k")).where(F.col("k") > PARTNERS).select(
+        "a", F.ceil(F.col("k") / PARTNERS).alias("chunks"))
+    chunks = F.coalesce("chunks", F.lit(1))
+    dealt = (pairs.join(F.broadcast(many) if small_enough(many) else many, "a", "left")
+             .select("a", "b", F.pmod(F.xxhash64("b"), chunks).alias("chunk")))
+    lead = dealt.select("a", "chunk").distinct()
+    rows = (dealt.join(data, dealt["b"] == data["id"]).select("a", "chunk", "b", "n", "data")
+            .unionByName(lead.join(data, lead["a"] == data["id"]).select(
+                "a", "chunk", F.lit(None).cast("long").alias("b"), "n", "data")))
+    schema = "a long, b long"
+    arrow = arrow_schema(pairs.sparkSession, schema)
+
+    def run(batches):
+        at, n, held = None, 0, b""
+        for batch in batches:
+            out = {"a": [], "b": []}
+            key, own, other, size = (batch.column(c).to_pylist() for c in ("a", "chunk", "b", "n"))
+            column = batch.column("data")
+            for i in range(batch.num_rows):
+                if other[i] is None:
+                    at, n, held = (key[i], own[i]), size[i], column[i].as_py()
+                elif at == (key[i], own[i]) and test(n, held, size[i], column[i].as_py()):
+                    out["a"].append(key[i])
+                    out["b"].append(other[i])
+            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+
+    return (rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
+            .mapInArrow(run, schema))
+
+
 def _likely(pairs: DataFrame, classes: DataFrame, limit: float) -> DataFrame:
     """The pairs ``(a, b)`` whose sketches do not rule the similarity out."""
-    side = classes.select("id", "n", "registers")
+    def test(na, ra, nb, rb):
+        if min(na, nb) < limit * max(na, nb) - 1e-9:
+            return False
+        j, used = estimate(np.frombuffer(ra, np.uint16), np.frombuffer(rb, np.uint16), na, nb)
+        return j >= limit - SIGMAS * (limit * (1 - limit) / max(1, used)) ** 0.5
 
-    def run(cols):
-        out = {"a": [], "b": []}
-        for a, b, na, nb, ra, rb in zip(*(cols[c] for c in ("a", "b", "na", "nb", "ra", "rb"))):
-            j, used = estimate(np.frombuffer(ra, np.uint16), np.frombuffer(rb, np.uint16), na, nb)
-            if j >= limit - SIGMAS * (limit * (1 - limit) / max(1, used)) ** 0.5 and min(na, nb) >= limit * max(na, nb) - 1e-9:
-                out["a"].append(a)
-                out["b"].append(b)
-        return out
+    return _meet(pairs, classes.select("id", "n", F.col("registers").alias("data")), test)
 
-    both = (pairs.join(side.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("registers").alias("ra")), "a")
-            .where(F.col("na") > 0)
-            .join(side.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb")), "b"))
-    return map_rows(both, run, "a long, b long", ["a", "b", "na", "nb", "ra", "rb"])
 
-
-def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """``(id, set)`` for the wanted representatives; the ids are few against the
-    documents and broadcast only if counted as such."""
-    ids = ids.select(F.col("id").alias("doc_id"))
-    picked = docs.select("doc_id", "text").join(F.broadcast(ids) if small_enough(ids) else ids, "doc_id", "left_semi")
+def _sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """``(id, n, data)`` for the wanted classes, ``data`` the sorted shingle hashes, from the text of each class's first
+    row. The wanted rows are a few longs each and broadcast only if counted as few."""
+    want = classes.join(ids, "id", "left_semi").select(F.col("doc_id").alias("_d"), F.col("tkey").alias("_t"), "id", "digest")
+    texts = docs.select(F.col("doc_id").alias("_d"), "text", F.xxhash64("text").alias("_t"))
+    picked = texts.join(F.broadcast(want) if small_enough(want) else want, ["_d", "_t"])
     memo: dict[bytes, int] = {}
 
     def run(cols):
-        return {"id": cols["doc_id"], "set": [shingles(t, words, memo).view(np.int64).tolist() for t in cols["text"]]}
+        out = {"id": [], "n": [], "data": []}
+        for i, t, digest in zip(cols["id"], cols["text"], cols["digest"]):
+            s = shingles(t, words, memo)
+            if _digest(s) == digest:
+                out["id"].append(i)
+                out["n"].append(len(s))
+                out["data"].append(s.tobytes())
+        return out
 
-    return map_rows(picked, run, "id long, set array<long>", ["doc_id", "text"], chunk=64).dropDuplicates(["id"])
+    return map_rows(picked, run, "id long, n long, data binary", ["id", "text", "digest"], chunk=64).dropDuplicates(["id"])
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs with 100 * intersection >= percent * union on the full sets."""
     pairs = stored(pairs, "likely")
-    sets = stored(_sets(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), words), "sets")
-    both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - F.col("common")
-    return (both.select("a", "b", "sa", "sb", common.alias("common"))
-            .where(100 * F.col("common") >= percent * union).select("a", "b"))
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    sets = stored(_sets(docs, classes, ids, words), "sets")
+
+    def test(na, a, nb, b):
+        if 100 * min(na, nb) < percent * max(na, nb):
+            return False
+        x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        common = int((x[np.minimum(np.searchsorted(x, y), na - 1)] == y).sum())
+        return 100 * common >= percent * (na + nb - common)
+
+    return _meet(pairs, sets, test)
 
 
 def _rooted(bands: DataFrame, roots: DataFrame) -> DataFrame:
@@ -234,7 +285,7 @@ def _shared(rows: DataFrame, docs: DataFrame, classes: DataFrame, words: int, pe
     other class of ``rows`` has. A pair shares at most the smaller ``c``; classes
     whose ``c`` can't reach the limit with any partner are left out."""
     ids = stored(rows.select("id").distinct(), "ids")
-    sets = _sets(docs, ids, words).select("id", F.explode("set").alias("s"))
+    sets = map_rows(_sets(docs, classes, ids, words), _each_shingle, "id long, s long", ["id", "data"], chunk=64)
     own = (sets.groupBy("s").agg(F.count("*").alias("k"), F.min("id").alias("id")).where("k = 1")
            .groupBy("id").agg(F.count("*").alias("own")))
     c = (ids.join(classes.select("id", "n", "registers"), "id").join(own, "id", "left")
@@ -249,14 +300,42 @@ def _shared(rows: DataFrame, docs: DataFrame, classes: DataFrame, words: int, pe
     return rows.join(c, "id").select("band", "id", "root", "n", "c", "bits")
 
 
+def _each_shingle(cols):
+    sets = [np.frombuffer(d, np.int64) for d in cols["data"]]
+    return {"id": np.repeat(np.array(cols["id"], np.int64), [len(s) for s in sets]),
+            "s": np.concatenate(sets) if sets else np.empty(0, np.int64)}
+
+
+def _candidates(rest: DataFrame, percent: int, limit: float) -> tuple[DataFrame, DataFrame]:
+    """The leaders of a round and the pairs that they form. A band key's members are cut into
+    parts of about ``PART`` rows, each with a copy of the key's leaders."""
+    usual = (rest.groupBy("band", "root").agg(F.count("*").alias("k")).groupBy("band")
+             .agg(F.max(F.struct("k", "root")).alias("r"), F.sum("k").alias("m"))
+             .select("band", F.col("r.root").alias("usual"), F.ceil(F.col("m") / PART).alias("parts")))
+    rest = rest.join(usual, "band")
+    rank = Window.partitionBy("band").orderBy("id")
+    lead = stored(rest.where("root <> usual").withColumn("at", F.row_number().over(rank))
+                  .where(F.col("at") <= LEADERS)
+                  .select("band", "parts", F.col("id").alias("lead"), F.col("root").alias("lr"), F.col("n").alias("ln"),
+                          F.col("c").alias("lc"), F.col("bits").alias("lbits")), "leads")
+    each = lead.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    most = F.least("c", "lc")
+    pairs = (rest.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).join(each, ["band", "part"])
+             .where(F.col("root") != F.col("lr"))
+             .where((100 * most >= percent * (F.col("n") + F.col("ln") - most))
+                    & (_differing("bits", "lbits") <= most_differing(limit)))
+             .select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b")).distinct())
+    return lead.select("band", F.col("lead").alias("id")), pairs
+
+
 def class_roots(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """``(node, root)`` of the class representatives that have a link."""
+    """``(node, root)`` of the classes that have a link, by their ``id``."""
     limit = percent / 100
     bands = _bands(classes)
     keys = bands.groupBy("band").agg(F.count("*").alias("m"), F.min("id").alias("lead")).where("m > 1")
     rows = stored(bands.join(keys.select("band", "lead"), "band"), "bands")
-    pairs = rows.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = stored(_confirm(_likely(pairs, classes, limit), docs, words, percent), "pairs")
+    pairs = stored(rows.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), "met")
+    links = stored(_confirm(_likely(pairs, classes, limit), docs, classes, words, percent), "pairs")
     tested = [links]
     # Each first leader has met all classes of its key.
     roots = stored(components(links), "roots")
@@ -264,22 +343,11 @@ def class_roots(docs: DataFrame, classes: DataFrame, words: int, percent: int) -
     if rest.isEmpty():
         return roots
     rest = stored(_open(_shared(rest, docs, classes, words, percent)), "rest")
-    sizes = rest.select("id", "n", "c", "bits").dropDuplicates(["id"])
+    sizes = stored(rest.select("id", "n", "c", "bits").dropDuplicates(["id"]), "sizes")
     while not rest.isEmpty():
-        usual = (rest.groupBy("band", "root").agg(F.count("*").alias("k")).groupBy("band")
-                 .agg(F.max(F.struct("k", "root")).alias("r")).select("band", F.col("r.root").alias("usual")))
-        rank = Window.partitionBy("band").orderBy("id")
-        lead = stored(rest.join(usual, "band").where("root <> usual").withColumn("at", F.row_number().over(rank))
-                      .where(F.col("at") <= LEADERS)
-                      .select("band", F.col("id").alias("lead"), F.col("root").alias("lr"), F.col("n").alias("ln"),
-                              F.col("c").alias("lc"), F.col("bits").alias("lbits")), "leads")
-        most = F.least("c", "lc")
-        pairs = (rest.join(lead, "band").where(F.col("root") != F.col("lr"))
-                 .where((100 * most >= percent * (F.col("n") + F.col("ln") - most))
-                        & (_differing("bits", "lbits") <= most_differing(limit)))
-                 .select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b")).distinct())
-        tested.append(stored(_confirm(_likely(pairs, classes, limit), docs, words, percent), "pairs"))
-        rest = rest.join(lead.select("band", F.col("lead").alias("id")), ["band", "id"], "left_anti").select("band", "id")
+        lead, pairs = _candidates(rest, percent, limit)
+        tested.append(stored(_confirm(_likely(stored(pairs, "met"), classes, limit), docs, classes, words, percent), "pairs"))
+        rest = rest.join(lead, ["band", "id"], "left_anti").select("band", "id")
         if not tested[-1].isEmpty():
             roots = stored(components(_union(tested)), "roots")
         rest = stored(_open(_rooted(rest, roots)).join(sizes, "id").select("band", "id", "root", "n", "c", "bits"), "rest")
@@ -293,34 +361,45 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def row_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``near_duplicates`` with ``tkey``, the hash that tells the texts of an id apart."""
+    table = stored(sketch_table(docs, words), "sketches")
+    first = table.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(
+        F.min(F.struct("doc_id", "tkey", "n", "registers")).alias("r")).select("digest", "r.*")
+    # Numbered as written: unique whichever task or attempt writes a row, and fixed from then on.
+    classes = stored(first.withColumn("id", F.monotonically_increasing_id()), "classes")
+    roots = class_roots(docs, classes, words, percent)
+    member = (classes.select("digest", "id", "doc_id").join(roots, F.col("id") == F.col("node"), "left")
+              .select("digest", "doc_id", F.coalesce("root", "id").alias("root")))
+    least = member.groupBy("root").agg(F.min("doc_id").alias("component"))
+    member = member.join(least, "root").select("digest", "component")
+    out = table.select("doc_id", "tkey", "n", "digest").join(member, "digest", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return out.select("doc_id", "tkey", F.col("n").alias("n_shingles"), component.alias("component_id"),
+                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs(doc_id, text)``;
     ``component_id`` is the smallest id reachable over links with
     100 * intersection >= percent * union."""
-    table = stored(sketch_table(docs, words), "sketches")
-    classes = stored(table.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(
-        F.min(F.struct("doc_id", "n", "registers")).alias("r")).select(
-        "digest", F.col("r.doc_id").alias("id"), F.col("r.n").alias("n"), F.col("r.registers").alias("registers")), "classes")
-    roots = class_roots(docs, classes, words, percent)
-    member = (classes.select("digest", "id").join(roots, F.col("id") == F.col("node"), "left")
-              .select("digest", F.coalesce("root", "id").alias("component")))
-    out = table.select("doc_id", "n", "digest").join(member, "digest", "left")
-    component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return row_components(docs, words, percent).drop("tkey")
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without the near duplicates of a smaller id, columns unchanged. Rows
-    that repeat id and text stay once; an id with several texts goes only if all of them
+    that repeat id and text stay once; of an id with several texts those go that
     are duplicates; rows with a null id stay."""
-    near = stored(near_duplicates(docs, words, percent).where("doc_id IS NOT NULL")
-                  .groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "kept")
-    drop = near.where("NOT kept").select("doc_id")
-    out = docs.join(F.broadcast(drop) if small_enough(drop) else drop, "doc_id", "left_anti").select(*docs.columns)
-    many = near.where("kept AND rows > 1").select("doc_id")
+    near = stored(row_components(docs, words, percent).where("doc_id IS NOT NULL")
+                  .groupBy("doc_id", "tkey").agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "kept")
+    name = "_" + "_".join(docs.columns)  # longer than any column's name
+    keyed = docs.withColumn(name, F.struct(F.col("doc_id").alias("d"), F.xxhash64("text").alias("t")))
+    key = F.struct(F.col("doc_id").alias("d"), F.col("tkey").alias("t")).alias(name)
+    drop = near.where("NOT kept").select(key)
+    out = keyed.join(F.broadcast(drop) if small_enough(drop) else drop, name, "left_anti")
+    many = near.where("kept AND rows > 1").select(key)
     if many.isEmpty():
-        return out
+        return out.select(*docs.columns)
     side = F.broadcast(many) if small_enough(many) else many
-    repeated = out.join(side, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-    return out.join(side, "doc_id", "left_anti").select(*docs.columns).union(repeated)
+    repeated = out.join(side, name, "left_semi").dropDuplicates([name])
+    return out.join(side, name, "left_anti").select(*docs.columns).union(repeated.select(*docs.columns))

@@ -119,7 +119,7 @@ class Model:
             s = memo.get(w)
             if s is None:
                 s = self.word_score(w)
-                if len(memo) > 500_000:
+                if len(memo) > 50_000:
                     memo.clear()
                 memo[w] = s
             if s:

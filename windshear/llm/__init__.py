@@ -10,6 +10,7 @@
 ``toxicity``     8  maximum-scoring toxic segments, extreme-value calibrated
 ``langid``       9  language identification, word first, n-gram backoff
 ``suffixes``     10 benchmark decontamination by training suffix arrays
+``negatives``    11 hard negatives by cover trees over norm-augmented vectors
 
 ``components`` and ``common`` are shared helpers; ``queries`` registers the
 thin ``opN_<name>`` queries and their SQL. Nothing outside this subpackage

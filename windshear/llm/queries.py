@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windshear.llm import hyperminhash, imatch, langid, mixing, pii, secrets, suffixes, templates, toxicity, warc
+from windshear.llm import (hyperminhash, imatch, langid, mixing, negatives, pii, secrets, suffixes, templates,
+                            toxicity, warc)
 from windshear.llm.common import held_out, read_table
 
 
@@ -73,6 +74,13 @@ def op10_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"), "longest", "longest_at", "longest_item")
 
 
+def op11_cover_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth row's positives, out of all rows."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=10, low=30, high=90)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_imatch": op1_imatch,
     "op2_entropy_mixing": op2_entropy_mixing,
@@ -84,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxic_segments": op8_toxic_segments,
     "op9_word_backoff": op9_word_backoff,
     "op10_suffix_arrays": op10_suffix_arrays,
+    "op11_cover_tree_negatives": op11_cover_tree_negatives,
 }
 
 # SQL for the queries that it can express.
@@ -96,4 +105,23 @@ ORACLE: dict[str, str] = {
                CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN first <> page_id THEN first END AS refers_to, TRUE AS digest_ok
         FROM p LEFT JOIN f USING (digest)""",
+    "op11_cover_tree_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10""",
 }

@@ -11,6 +11,8 @@
 ``langid``       9  language identification, word first, n-gram backoff
 ``suffixes``     10 benchmark decontamination by training suffix arrays
 ``negatives``    11 hard negatives by cover trees over norm-augmented vectors
+``transducer``   12 BPE encoding and decoding with bounded lookahead
+``alignment``    13 cross-tokenizer pair counts by minimal perfect hashing
 
 ``components`` and ``common`` are shared helpers; ``queries`` registers the
 thin ``opN_<name>`` queries and their SQL. Nothing outside this subpackage

@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windshear.llm import (hyperminhash, imatch, langid, mixing, negatives, pii, secrets, suffixes, templates,
-                            toxicity, warc)
+from windshear.llm import (alignment, hyperminhash, imatch, langid, mixing, negatives, pii, secrets, suffixes, templates,
+                            toxicity, transducer, warc)
 from windshear.llm.common import held_out, read_table
 
 
@@ -81,6 +82,17 @@ def op11_cover_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=10, low=30, high=90)
 
 
+def op12_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded with the word vocabulary, and decoded again."""
+    return transducer.code(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level and piece tokens of every document aligned, with corpus-wide counts of linked pairs."""
+    return alignment.align(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_imatch": op1_imatch,
     "op2_entropy_mixing": op2_entropy_mixing,
@@ -93,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_word_backoff": op9_word_backoff,
     "op10_suffix_arrays": op10_suffix_arrays,
     "op11_cover_tree_negatives": op11_cover_tree_negatives,
+    "op12_transducer_bpe": op12_transducer_bpe,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 # SQL for the queries that it can express.

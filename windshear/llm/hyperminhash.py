@@ -15,7 +15,8 @@
    in several components go on, and of these only classes with enough shingles
    that another such class has. In rounds, up to ``LEADERS`` classes outside the
    key's largest component meet all members of other components that can share
-   enough with them, by those counts and the lowest bits of their registers, and then leave the key, until each key holds one component.
+   enough with them, by those counts, by ``MARKS`` bits set by their shingles, which bound what two sets share, and by the
+   lowest bits of their registers, and then leave the key, until each key holds one component.
    So a group of copies costs links in proportion to its rows, and every pair
    that shares a key and could join two components is tested.
 
@@ -32,7 +33,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -47,6 +48,7 @@ PARTNERS = 64
 PART = 1024
 WORDS_HELD = 50_000
 PLANES = 4
+MARKS = 4096
 SIGMAS = 5
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -124,6 +126,13 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> tuple[float, i
     return max(0.0, (same - chance * used) / ((1 - chance) * used)), used
 
 
+def marks(hashes: np.ndarray) -> tuple[list[int], int]:
+    """One of ``MARKS`` bits for each shingle, in 64-bit words, and how many shingles set no bit of their own."""
+    bits = np.zeros(MARKS, np.uint8)
+    bits[(mix(hashes) % np.uint64(MARKS)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64).tolist(), len(hashes) - int(bits.sum())
+
+
 def planes(registers: np.ndarray) -> list[int]:
     """The lowest ``PLANES`` bits of all registers as bit planes, in 64-bit words."""
     bits = (registers[None, :] >> np.arange(PLANES, dtype=np.uint16)[:, None]) & np.uint16(1)
@@ -137,18 +146,6 @@ def most_differing(limit: float) -> float:
     return n * p + SIGMAS * (n * p * (1 - p)) ** 0.5
 
 
-def _differing(a: str, b: str) -> Column:
-    """The number of registers that differ in a kept bit, from two columns of ``planes``."""
-    lanes = REPEATS * BUCKETS // 64
-    total = F.lit(0)
-    for i in range(lanes):
-        odd = F.lit(0).cast("long")
-        for k in range(PLANES):
-            odd = odd.bitwiseOR(F.col(a)[k * lanes + i].bitwiseXOR(F.col(b)[k * lanes + i]))
-        total = total + F.bit_count(odd)
-    return total
-
-
 def sketch_table(docs: DataFrame, words: int) -> DataFrame:
     """``(doc_id, tkey, n, digest, registers)`` per row of ``docs(doc_id, text)``; ``tkey`` is a hash of the
     text, by which the text of a row is found again."""
@@ -285,19 +282,20 @@ def _shared(rows: DataFrame, docs: DataFrame, classes: DataFrame, words: int, pe
     other class of ``rows`` has. A pair shares at most the smaller ``c``; classes
     whose ``c`` can't reach the limit with any partner are left out."""
     ids = stored(rows.select("id").distinct(), "ids")
-    sets = map_rows(_sets(docs, classes, ids, words), _each_shingle, "id long, s long", ["id", "data"], chunk=64)
-    own = (sets.groupBy("s").agg(F.count("*").alias("k"), F.min("id").alias("id")).where("k = 1")
+    sets = stored(_sets(docs, classes, ids, words), "sets")
+    own = (map_rows(sets, _each_shingle, "id long, s long", ["id", "data"], chunk=64).groupBy("s").agg(F.count("*").alias("k"), F.min("id").alias("id")).where("k = 1")
            .groupBy("id").agg(F.count("*").alias("own")))
-    c = (ids.join(classes.select("id", "n", "registers"), "id").join(own, "id", "left")
-         .select("id", "n", "registers", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c"))
+    c = (sets.join(classes.select("id", "registers"), "id").join(own, "id", "left")
+         .select("id", "n", "registers", "data", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c"))
          .where(100 * F.col("c") >= percent * F.col("n")))
 
     def run(cols):
-        return {"id": cols["id"], "n": cols["n"], "c": cols["c"],
+        made = [marks(np.frombuffer(d, np.uint64)) for d in cols["data"]]
+        return {"id": cols["id"], "n": cols["n"], "c": cols["c"], "lost": [m[1] for m in made], "marks": [m[0] for m in made],
                 "bits": [planes(np.frombuffer(r, np.uint16)) for r in cols["registers"]]}
 
-    c = map_rows(c, run, "id long, n long, c long, bits array<long>", ["id", "n", "c", "registers"])
-    return rows.join(c, "id").select("band", "id", "root", "n", "c", "bits")
+    c = map_rows(c, run, "id long, n long, c long, lost long, marks array<long>, bits array<long>", ["id", "n", "c", "data", "registers"])
+    return rows.join(c, "id").select("band", "root", *OWN)
 
 
 def _each_shingle(cols):
@@ -306,6 +304,9 @@ def _each_shingle(cols):
             "s": np.concatenate(sets) if sets else np.empty(0, np.int64)}
 
 
+OWN = ["id", "n", "c", "lost", "marks", "bits"]
+
+
 def _candidates(rest: DataFrame, percent: int, limit: float) -> tuple[DataFrame, DataFrame]:
     """The leaders of a round and the pairs that they form. A band key's members are cut into
     parts of about ``PART`` rows, each with a copy of the key's leaders."""
@@ -316,16 +317,61 @@ def _candidates(rest: DataFrame, percent: int, limit: float) -> tuple[DataFrame,
     rank = Window.partitionBy("band").orderBy("id")
     lead = stored(rest.where("root <> usual").withColumn("at", F.row_number().over(rank))
                   .where(F.col("at") <= LEADERS)
-                  .select("band", "parts", F.col("id").alias("lead"), F.col("root").alias("lr"), F.col("n").alias("ln"),
-                          F.col("c").alias("lc"), F.col("bits").alias("lbits")), "leads")
-    each = lead.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
-    most = F.least("c", "lc")
-    pairs = (rest.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).join(each, ["band", "part"])
-             .where(F.col("root") != F.col("lr"))
-             .where((100 * most >= percent * (F.col("n") + F.col("ln") - most))
-                    & (_differing("bits", "lbits") <= most_differing(limit)))
-             .select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b")).distinct())
-    return lead.select("band", F.col("lead").alias("id")), pairs
+                  .select("band", "parts", "root", *OWN), "leads")
+    each = (lead.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+            .select("band", "part", F.lit(True).alias("leads"), "root", *OWN))
+    members = rest.select("band", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"), F.lit(False).alias("leads"), "root", *OWN)
+    schema = "a long, b long"
+    arrow = arrow_schema(rest.sparkSession, schema)
+    most = most_differing(limit)
+
+    def run(batches):
+        key, held = None, []
+        for batch in batches:
+            keys = list(zip(batch.column("band").to_pylist(), batch.column("part").to_pylist()))
+            leads = batch.column("leads").to_pylist()
+            out, i = [], 0
+            while i < len(keys):
+                end = i
+                while end < len(keys) and keys[end] == keys[i] and leads[end] == leads[i]:
+                    end += 1
+                rows = _side(batch.slice(i, end - i))
+                if leads[i]:
+                    held = [rows] if keys[i] != key else [*held, rows]
+                    key = keys[i]
+                elif keys[i] == key:
+                    for some in held:
+                        out.extend(_fitting(some, k, rows, percent, most) for k in range(len(some["id"])))
+                i = end
+            a, b = (np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, np.int64),) * 2
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=arrow)
+
+    pairs = (each.union(members).repartition("band", "part").sortWithinPartitions("band", "part", F.desc("leads"))
+             .mapInArrow(run, schema).distinct())
+    return lead.select("band", "id"), pairs
+
+
+def _side(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    """Columns of leaders or members as arrays, the bits as a matrix."""
+    out = {c: batch.column(c).to_numpy() for c in ("root", "id", "n", "c", "lost")}
+    for c in ("marks", "bits"):
+        out[c] = batch.column(c).flatten().to_numpy().view(np.uint64).reshape(batch.num_rows, -1)
+    return out
+
+
+def _fitting(leads: dict, k: int, rows: dict, percent: int, most: float) -> tuple[np.ndarray, np.ndarray]:
+    """Leader ``k`` with those of ``rows`` in other components whose bounds allow a link."""
+    total = rows["n"] + leads["n"][k]
+    shared = np.minimum(rows["c"], leads["c"][k])
+    at = np.flatnonzero((rows["root"] != leads["root"][k]) & (100 * shared >= percent * (total - shared)))
+    # No pair shares more than the marks that both set, and what either lost by setting one twice.
+    marks = np.bitwise_count(rows["marks"][at] & leads["marks"][k]).sum(1, dtype=np.int64) + np.minimum(rows["lost"][at], leads["lost"][k])
+    shared = np.minimum(shared[at], marks)
+    at = at[100 * shared >= percent * (total[at] - shared)]
+    odd = (rows["bits"][at] ^ leads["bits"][k]).reshape(len(at), PLANES, REPEATS * BUCKETS // 64)
+    differing = np.bitwise_count(np.bitwise_or.reduce(odd, axis=1)).sum(1, dtype=np.int64)
+    at = at[differing <= most]
+    return np.full(len(at), leads["id"][k]), rows["id"][at]
 
 
 def class_roots(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -343,14 +389,14 @@ def class_roots(docs: DataFrame, classes: DataFrame, words: int, percent: int) -
     if rest.isEmpty():
         return roots
     rest = stored(_open(_shared(rest, docs, classes, words, percent)), "rest")
-    sizes = stored(rest.select("id", "n", "c", "bits").dropDuplicates(["id"]), "sizes")
+    sizes = stored(rest.select(*OWN).dropDuplicates(["id"]), "sizes")
     while not rest.isEmpty():
         lead, pairs = _candidates(rest, percent, limit)
         tested.append(stored(_confirm(_likely(stored(pairs, "met"), classes, limit), docs, classes, words, percent), "pairs"))
         rest = rest.join(lead, ["band", "id"], "left_anti").select("band", "id")
         if not tested[-1].isEmpty():
             roots = stored(components(_union(tested)), "roots")
-        rest = stored(_open(_rooted(rest, roots)).join(sizes, "id").select("band", "id", "root", "n", "c", "bits"), "rest")
+        rest = stored(_open(_rooted(rest, roots)).join(sizes, "id").select("band", "root", *OWN), "rest")
     return roots
 
 

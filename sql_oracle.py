@@ -12,6 +12,7 @@ LO, HI = "2024-01-01 00:00", "2024-02-01 00:00"
 DAY_LO, DAY_HI = "2024-01-01 00:00", "2024-01-31 23:59"
 WEEK_LO, WEEK_HI = "2024-01-08 00:00", "2024-01-15 00:00"
 ONE_DAY = "2024-01-10"
+EDGE_LO, EDGE_HI = "2024-01-08 06:30", "2024-01-15 18:45"
 DESCRIPTOR_EVERY = 101
 
 _CARDINALS = "['N','NNE','NE','ENE','E','ESE','SE','SSE','S','SSW','SW','WSW','W','WNW','NW','NNW','VRB']"
@@ -343,6 +344,15 @@ def oracle() -> dict[str, str]:
     q["csv_weather"] = _with("SELECT * FROM weather_raw", DESCRIPTOR_EVERY)
     q["csv_airport_zone"] = q["airport_zone_dim"]
     q["csv_mart"] = _with(f"SELECT {MART_COLS} FROM mart")
+    q["stored_mart_factored"] = q["stored_mart_late_weather"] = _with(f"SELECT {MART_COLS} FROM mart")
+    q["stored_mart_factored_rose"] = _wind_rose("departure", LO, HI)
+    q["stored_mart_rollup_rose"] = _wind_rose("departure", EDGE_LO, EDGE_HI)
+    q["stored_mart_rollup_delays"] = _delay_count("arrival", EDGE_LO, EDGE_HI)
+    q["stored_mart_rollup_crosswind"] = _crosswind("arrival", EDGE_LO, EDGE_HI)
+    q["stored_stable_key"] = _with(f"SELECT {MART_COLS}, row_number() OVER (ORDER BY {order}) - 1 AS unique_id FROM mart")
+    q["stored_csv_quarantine"] = _with("""
+SELECT CASE CancellationCode WHEN 'C' THEN 'short' WHEN 'A' THEN 'long' ELSE 'good' END AS kind, COUNT(*) AS n
+FROM flight_raw GROUP BY 1""")
     q["stored_mart_week_departure"] = _delay_count("departure", WEEK_LO, WEEK_HI)
     q["stored_mart_week_arrival"] = _delay_count("arrival", WEEK_LO, WEEK_HI)
     q["wind_rose_day"] = _wind_rose("departure", f"{ONE_DAY} 00:00", f"{ONE_DAY} 23:59")

@@ -14,15 +14,15 @@ from pyspark.sql import SparkSession
 from windshear.config import HubConfig
 from windshear.plans import etl
 from windshear.sources import files
-from windshear.sources.mart import read_mart, write_mart
+from windshear.sources.mart import publish_mart, read_mart
 from windshear.sources.sinks import schema_text
 
 
 def run(spark: SparkSession, flights: list[str], weather: list[str], airports: str, zones: str, cfg: HubConfig, out: str):
-    """E1-E4 over the given paths; returns the stored mart."""
+    """E1-E4 over the given paths; returns the stored mart. A run that fails leaves the mart published before."""
     mart = etl.build_mart(files.read_flights(spark, flights), files.read_weather(spark, weather),
                           files.read_airports(spark, airports), files.read_timezones(spark, zones), cfg)
-    write_mart(mart, out)
+    publish_mart(mart, out)
     return read_mart(spark, out)
 
 

@@ -69,6 +69,28 @@ def fits_together(*sides: DataFrame, limit_bytes: int) -> bool:
     return all(s is not None for s in sizes) and sum(sizes) <= limit_bytes
 
 
+def counted_bytes(df: DataFrame) -> int:
+    """The size of a table's values, counted by a job: the text of each, and 16 bytes for each field."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
+    total = sum(texts[1:], texts[0]) + 16 * len(texts)
+    return df.agg(F.coalesce(F.sum(total.cast("long")), F.lit(0))).first()[0]
+
+
+def dimension_fits(airports: DataFrame, zones: DataFrame, dim: DataFrame, limit_bytes: int) -> bool:
+    """Whether the joined dimension is at most ``limit_bytes``, counted.
+
+    The planned sizes of its two tables rule out large ones without a job. They bound the join
+    only where no code repeats, so what passes is counted: a code with a rows in one table and z in the
+    other stands with a * z. The products are summed from both tables' counts before the join itself is sized.
+    """
+    if not fits_together(airports, zones, limit_bytes=limit_bytes):
+        return False
+    a = airports.groupBy("iata_code").agg(F.count(F.lit(1)).alias("_a"))
+    z = zones.groupBy("iata_code").agg(F.count(F.lit(1)).alias("_z"))
+    n = a.join(z, "iata_code", "left").agg(F.sum(F.col("_a") * F.coalesce("_z", F.lit(1)))).first()[0] or 0
+    return n * 16 * len(dim.columns) <= limit_bytes and counted_bytes(dim) <= limit_bytes
+
+
 def attach_airports(flights: DataFrame, dim: DataFrame, limit_bytes: int, *, small: bool | None = None) -> DataFrame:
     """J3 + J4: the airport dimension as departure and as arrival airport (left joins).
 

@@ -7,6 +7,7 @@ whole tables (``sources.fixtures``) and runs the library's operators on them.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
@@ -15,17 +16,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from windshear import schemas
 from windshear.functions.labels import surrogate_key
 from windshear.functions.times import combine_date_clock, hhmm_to_clock
 from windshear.functions.wind import gust_override, precip_flag
 from windshear.operators.filters import hub_filter
-from windshear.operators.joins import attach_airports, attach_weather, fits_together
+from windshear.operators.joins import WEIGHT, attach_airports, attach_weather, dimension_fits
+from windshear.operators.keys import stable_key
 from windshear.operators.projections import flight_columns, weather_columns
-from windshear.plans import direct, etl, queries
-from windshear.sources import files
+from windshear.plans import direct, etl, queries, rebuild, rollups
+from windshear.sources import factored, files
 from windshear.sources import fixtures as fx
 from windshear.session import scratch_path
-from windshear.sources.mart import read_mart, write_mart
+from windshear.sources.mart import publish_mart, read_mart, read_range, write_mart
 from windshear.sources.sinks import as_json_lines, preview
 
 CFG = fx.FIXTURE_CONFIG
@@ -36,6 +39,8 @@ FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-31"
 # One week and one day strictly inside it.
 WEEK_LO, WEEK_HI = "2024-01-08 00:00", "2024-01-15 00:00"
 ONE_DAY = "2024-01-10"
+# A range that begins and ends within a day.
+EDGE_LO, EDGE_HI = dt.datetime(2024, 1, 8, 6, 30), dt.datetime(2024, 1, 15, 18, 45)
 DESCRIPTOR_EVERY = 101
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,7 +177,8 @@ def q_flight_weather_join(spark, d):
 
 def _roles(flights, airports, zones):
     dim = etl.airport_dimension(airports, zones)
-    j = attach_airports(flights, dim, CFG.broadcast_limit, small=fits_together(airports, zones, limit_bytes=CFG.broadcast_limit))
+    airports = airports.withColumnRenamed("iata", "iata_code")
+    j = attach_airports(flights, dim, CFG.broadcast_limit, small=dimension_fits(airports, zones.select("iata_code"), dim, CFG.broadcast_limit))
     return j.select("dep_or_arr", "dep_iata", "dep_lat", "dep_long", "dep_timezone",
                     "arr_iata", "arr_lat", "arr_long", "arr_timezone")
 
@@ -226,6 +232,11 @@ def q_surrogate_key(spark, d):
                    (F.min("unique_id") >= 0).alias("non_negative"))
 
 
+def q_stored_stable_key(spark, d):
+    """C14 with ids that are the same on every run: dense, in the order of all columns."""
+    return stable_key(_mart(spark, d))
+
+
 def _interruptions(spark, d, cond, name):
     return direct.interruption_classes(*_q(spark, d), cond, name)
 
@@ -286,12 +297,12 @@ def q_wind_rose_days(spark, d):
 
 def q_wind_rose_weighted(spark, d):
     """Q1 over the weighted per-flight plan (weather reduced, flights not)."""
-    return queries.wind_rose(_weighted(spark, d, "wind_rose"), "departure", LO, HI)
+    return queries.wind_rose(_weighted(spark, d, "wind_rose"), "departure", LO, HI, weight=WEIGHT)
 
 
 def q_crosswind_weighted(spark, d):
     """Q3 over the weighted per-flight plan."""
-    return queries.crosswind_interruptions(_weighted(spark, d, "crosswind_interruptions"), "arrival", LO, HI)
+    return queries.crosswind_interruptions(_weighted(spark, d, "crosswind_interruptions"), "arrival", LO, HI, weight=WEIGHT)
 
 
 def _stored_mart(spark, d):
@@ -317,8 +328,61 @@ def q_stored_mart_week_departure(spark, d):
 
 
 def q_stored_mart_week_arrival(spark, d):
-    """Q2 over the stored mart for one week of arrivals (day directories pruned by the margin)."""
-    return queries.airport_delay_count(_stored_mart(spark, d), "arrival", WEEK_LO, WEEK_HI)
+    """Q2 over the stored mart for one week of arrivals: the files that the zone map names."""
+    path = scratch_path(spark, f"marts/{uuid.uuid4().hex}")
+    publish_mart(_mart(spark, d), path)
+    rows = read_range(spark, path, "arr_time", queries.bound(WEEK_LO), queries.bound(WEEK_HI))
+    return queries.airport_delay_count(rows.drop("dep_day"), "arrival", WEEK_LO, WEEK_HI)
+
+
+def _factored(spark, d):
+    """The mart stored in its two factors."""
+    path = scratch_path(spark, f"marts/{uuid.uuid4().hex}")
+    factored.write_factored(*_inputs(spark, d), CFG, path)
+    return path
+
+
+def q_stored_mart_factored(spark, d):
+    """E4 in two factors: the mart's rows, formed on read."""
+    return factored.read_pairs(spark, _factored(spark, d)).drop("dep_day")
+
+
+def q_stored_mart_factored_rose(spark, d):
+    """Q1 over the factored mart, pairs never formed."""
+    rows = factored.read_weighted(spark, _factored(spark, d), queries.QUESTION_ATTRS["wind_rose"])
+    return queries.wind_rose(rows, "departure", LO, HI, weight=WEIGHT)
+
+
+def _with_rollups(spark, d):
+    path = scratch_path(spark, f"marts/{uuid.uuid4().hex}")
+    rollups.publish_with_rollups(_mart(spark, d), path)
+    return path
+
+
+def q_stored_mart_rollup_rose(spark, d):
+    """Q1 from day rollups, over a range with two partial days."""
+    return rollups.wind_rose(spark, _with_rollups(spark, d), "departure", EDGE_LO, EDGE_HI)
+
+
+def q_stored_mart_rollup_delays(spark, d):
+    """Q2 from day rollups, arrivals."""
+    return rollups.airport_delay_count(spark, _with_rollups(spark, d), "arrival", EDGE_LO, EDGE_HI)
+
+
+def q_stored_mart_rollup_crosswind(spark, d):
+    """Q3 from day rollups, arrivals."""
+    return rollups.crosswind_interruptions(spark, _with_rollups(spark, d), "arrival", EDGE_LO, EDGE_HI)
+
+
+def q_stored_mart_late_weather(spark, d):
+    """A mart published without one day of weather, then only the touched days built again."""
+    flights, weather, airports, zones = _inputs(spark, d)
+    late = F.col("Date_Time").startswith(ONE_DAY)
+    path = scratch_path(spark, f"marts/{uuid.uuid4().hex}")
+    publish_mart(etl.build_mart(flights, weather.where(~late), airports, zones, CFG), path)
+    days = rebuild.days_of_weather(flights, weather.where(late), airports, zones, CFG)
+    rebuild.rebuild_days(path, days, flights, weather, airports, zones, CFG)
+    return read_mart(spark, path).drop("dep_day")
 
 
 def q_wind_rose_day(spark, d):
@@ -357,6 +421,24 @@ def q_csv_weather(spark, d):
     return files.read_weather(spark, _as_csv(spark, {"w": fx.weather_raw(spark, d, descriptor_every=DESCRIPTOR_EVERY)}) + "/w")
 
 
+def q_stored_csv_quarantine(spark, d):
+    """S1 with malformed rows set apart: rows cancelled for reason C lose their last ten fields on the
+    way, those for reason A gain one. The good rows are counted, and the records of the side table by their shape."""
+    base = scratch_path(spark, f"csv/{uuid.uuid4().hex}")
+    raw = fx.flight_raw(spark, d)
+    text = [F.coalesce(F.col(c), F.lit("")) for c in raw.columns]
+    code = F.coalesce(F.col("CancellationCode"), F.lit(""))
+    line = (F.when(code == "C", F.concat_ws(",", *text[:5])).when(code == "A", F.concat_ws(",", *text, F.lit("extra")))
+            .otherwise(F.concat_ws(",", *text)))
+    header = ",".join(raw.columns)
+    (raw.select(line.alias(header)).write.option("header", True).option("quote", "").option("sep", "\u0001").csv(f"{base}/f"))
+    good = files.quarantine(spark, f"{base}/f", schemas.FLIGHT_RAW, f"{base}/side")
+    fields = F.size(F.split("record", ",", -1))
+    shape = F.when(fields < len(raw.columns), "short").otherwise("long")
+    bad = spark.read.parquet(f"{base}/side").groupBy(shape.alias("kind")).agg(F.count("*").alias("n"))
+    return good.agg(F.count("Distance").alias("n")).select(F.lit("good").alias("kind"), "n").union(bad)
+
+
 def q_csv_airport_zone(spark, d):
     """S3 + S4 + J2 from files."""
     base = _as_csv(spark, {"a": fx.airport_raw(spark, d), "z": fx.timezone_raw(spark, d)})

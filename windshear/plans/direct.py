@@ -106,21 +106,16 @@ def crosswind_interruptions(flights: DataFrame, weather: DataFrame, direction: s
 def interruption_classes(flights: DataFrame, weather: DataFrame, lim_condition, name: str) -> DataFrame:
     """C15-C17 counted over mart rows, from the inputs: ``name, n``.
 
-    Flights are grouped per key by the fields the class reads, weather per key
-    by its limit class; the class is computed on the joined groups and weighted
-    by the product of the two counts (a flight without weather counts once,
-    with a NULL class).
+    The class of each flight over the limit is computed first, and flights are
+    grouped per key by it (five values and NULL, however many texts the fields hold); weather is
+    grouped per key by whether it is over the limit. The joined groups weigh
+    the product of their counts; below the limit, and without weather, the class is NULL.
     """
-    fields = ["wthr_code", "cncl_code", "dep_or_arr", "dep_del15", "arr_del15",
-              F.col("diverted_iata").isNotNull().alias("_diverted")]
-    f = flights.groupBy("time_interval", *fields).agg(_n("n_f"))
-    w = weather.groupBy("time_interval", "crosswind_lim").agg(_n("n_w"))
-    # The class only asks whether a diversion airport is present, so the
-    # grouped flag stands in for the airport code.
-    pairs = f.join(w, on="time_interval", how="left").withColumn(
-        "diverted_iata", F.when(F.col("_diverted"), F.lit("")))
+    f = flights.groupBy("time_interval", interruption_class(F.lit(True)).alias("_class")).agg(_n("n_f"))
+    w = weather.groupBy("time_interval", F.coalesce(lim_condition, F.lit(False)).alias("_over")).agg(_n("n_w"))
+    pairs = f.join(w, on="time_interval", how="left")
     weight = F.col("n_f") * F.coalesce(F.col("n_w"), F.lit(1).cast("long"))
-    return pairs.groupBy(interruption_class(lim_condition).alias(name)).agg(F.sum(weight).alias("n"))
+    return pairs.groupBy(F.when(F.col("_over"), F.col("_class")).alias(name)).agg(F.sum(weight).alias("n"))
 
 
 def delay_map(flights: DataFrame, weather: DataFrame, hub: str, direction: str, start, end, *,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windshear.config import HubConfig
@@ -22,7 +22,7 @@ from windshear.operators.joins import (
     attach_weather,
     attach_weather_split,
     attach_weighted_weather,
-    fits_together,
+    dimension_fits,
 )
 from windshear.operators.projections import (
     airport_columns,
@@ -107,7 +107,7 @@ def airport_dimension(airports_raw: DataFrame, zones_raw: DataFrame) -> DataFram
 def localise_flights(flights: DataFrame, airports_raw: DataFrame, zones_raw: DataFrame, cfg: HubConfig) -> DataFrame:
     """J2 + J3 + J4 + C3 x2: airport location and zone, then both times in the hub zone."""
     dim = airport_dimension(airports_raw, zones_raw)
-    small = fits_together(airport_columns(airports_raw), timezone_columns(zones_raw), limit_bytes=cfg.broadcast_limit)
+    small = dimension_fits(airport_columns(airports_raw), timezone_columns(zones_raw), dim, cfg.broadcast_limit)
     df = attach_airports(flights, dim, cfg.broadcast_limit, small=small)
     return df.withColumns({
         "dep_time": zone_to_zone("dep_time", "dep_timezone", cfg.hub_tz),
@@ -123,13 +123,14 @@ def prepared_weather(weather_raw: DataFrame, cfg: HubConfig) -> DataFrame:
 
 
 def enrich(flights_raw: DataFrame, weather_raw: DataFrame, airports_raw: DataFrame,
-           zones_raw: DataFrame, cfg: HubConfig) -> DataFrame:
-    """J1, J2, P5, J3, J4, C3 x2.
+           zones_raw: DataFrame, cfg: HubConfig, *, keep: Column | None = None) -> DataFrame:
+    """J1, J2, P5, J3, J4, C3 x2. ``keep`` cuts the localised flights before they meet weather.
 
     The dimension joins (broadcast, no shuffle) run before the weather join,
     so they see each flight once rather than once per weather observation.
     """
     flights = localise_flights(clean_flights(flights_raw, cfg), airports_raw, zones_raw, cfg)
+    flights = flights if keep is None else flights.where(keep)
     weather = prepared_weather(weather_raw, cfg)
     if cfg.hot_key_rows is not None:
         return attach_weather_split(flights, weather, hot_key_rows=cfg.hot_key_rows,

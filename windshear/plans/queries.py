@@ -1,8 +1,8 @@
 """Q1-Q6: the questions asked of the mart.
 
 Each takes rows with mart columns: the stored mart (``sources.mart``), the lazy
-mart plan, or the weighted plan of ``etl.weighted_mart``. Bounds are typed
-literals (D22); ``[lo, hi)`` is half-open (D17).
+mart plan, or the weighted plan of ``etl.weighted_mart`` (then ``weight`` names
+its weight column). Bounds are typed literals (D22); ``[lo, hi)`` is half-open (D17).
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ def bound(b: Bound) -> Column:
 
 
 def wind_rose(rows: DataFrame, direction: str, lo: Bound, hi: Bound,
-              compass: Sequence[str] = COMPASS) -> DataFrame:
+              compass: Sequence[str] = COMPASS, weight: str | None = None) -> DataFrame:
     """Q1: delayed rows per wind direction and speed bin, all 16 directions present.
 
     Output ``card_dir, binned_wind, count, index_dir`` ordered by compass
@@ -48,7 +48,7 @@ def wind_rose(rows: DataFrame, direction: str, lo: Bound, hi: Bound,
         window_with_pruning(rows, c.time, bound(lo), bound(hi))
         & delayed_15(c.del15) & not_null(c.time, "card_dir")
     )
-    return finish_wind_rose(wind_rose_counts(kept), compass)
+    return finish_wind_rose(wind_rose_counts(kept, weight), compass)
 
 
 def finish_wind_rose(counts: DataFrame, compass: Sequence[str] = COMPASS) -> DataFrame:
@@ -61,7 +61,7 @@ def finish_wind_rose(counts: DataFrame, compass: Sequence[str] = COMPASS) -> Dat
 
 
 def airport_delay_count(rows: DataFrame, direction: str, lo: Bound, hi: Bound,
-                        *, counterpart: bool = False, count_name: str | None = None) -> DataFrame:
+                        *, counterpart: bool = False, count_name: str | None = None, weight: str | None = None) -> DataFrame:
     """Q2: delayed rows per airport, most delays first.
 
     Default (the original code's meaning, D16): all rows in range, grouped by
@@ -77,7 +77,7 @@ def airport_delay_count(rows: DataFrame, direction: str, lo: Bound, hi: Bound,
         pred = pred & (F.col("dep_or_arr") == direction)
         key = other_role(direction)
     kept = rows.where(pred)
-    out = finish_delay_count(delays_per_airport(kept, key.iata, key.long, key.lat, c.del15), direction,
+    out = finish_delay_count(delays_per_airport(kept, key.iata, key.long, key.lat, c.del15, weight), direction,
                              counterpart=counterpart)
     return out.withColumnRenamed(c.del15, count_name) if count_name else out
 
@@ -100,7 +100,7 @@ def finish_delay_count(counts: DataFrame, direction: str, *, counterpart: bool =
     return counts.repartition(1).sortWithinPartitions(F.col(c.del15).desc(), F.col(key.iata))
 
 
-def crosswind_interruptions(rows: DataFrame, direction: str, lo: Bound, hi: Bound) -> DataFrame:
+def crosswind_interruptions(rows: DataFrame, direction: str, lo: Bound, hi: Bound, *, weight: str | None = None) -> DataFrame:
     """Q3: weather delays and weather cancellations under crosswind, dry vs wet.
 
     Output two rows ``cond, dry, precip``: delays first, then cancellations.
@@ -117,7 +117,7 @@ def crosswind_interruptions(rows: DataFrame, direction: str, lo: Bound, hi: Boun
         "wet_delay": runway_condition(2) & weather_delayed("wthr_code"),
         "dry_cncl": runway_condition(1) & weather_cancelled(),
         "wet_cncl": runway_condition(2) & weather_cancelled(),
-    })
+    }, weight)
     return interruption_matrix(counts)
 
 

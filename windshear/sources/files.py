@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from windshear import schemas
 
@@ -33,6 +36,42 @@ def _csv(spark: SparkSession, path: str | list[str], schema) -> DataFrame:
     return out
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_checked(spark: SparkSession, path: str | list[str], schema) -> tuple[DataFrame, DataFrame]:
+    """S1-S4 with malformed rows set apart: ``(rows, quarantined)``.
+
+    A row with fewer or more fields than its file's header, or with a broken quote, is not
+    padded or cut: it goes to ``quarantined(file, record)`` with its file's name and its text. All columns are parsed for
+    this, also those that are not selected.
+    """
+    rows, bad = [], []
+    names = schema.fieldNames()
+    for one in [path] if isinstance(path, str) else path:
+        header = spark.read.option("header", True).csv(one).columns
+        missing = [n for n in names if n not in header]
+        if missing:
+            raise ValueError(f"{one}: missing columns {missing}")
+        full = T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
+        df = (spark.read.schema(full).option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+              .option("columnPruning", False).option("columnNameOfCorruptRecord", CORRUPT).csv(one))
+        # Spark reads the corrupt column only together with another one, whatever a caller selects.
+        first = F.col(f"`{header[0]}`")
+        both = F.length(F.concat_ws("", F.col(CORRUPT), first)) >= 0
+        rows.append(df.where(F.col(CORRUPT).isNull() & both).select(*[F.col(f"`{n}`") for n in names]))
+        bad.append(df.where(F.col(CORRUPT).isNotNull() & both).select(
+            F.col("_metadata.file_path").alias("file"), F.col(CORRUPT).alias("record")))
+    return reduce(DataFrame.unionByName, rows), reduce(DataFrame.unionByName, bad)
+
+
+def quarantine(spark: SparkSession, path: str | list[str], schema, side_path: str) -> DataFrame:
+    """The well-formed rows of ``path``; the others are appended to the side table at ``side_path``."""
+    rows, bad = read_checked(spark, path, schema)
+    bad.write.mode("append").parquet(side_path)
+    return rows
+
+
 def read_flights(spark: SparkSession, path) -> DataFrame:
     """Flight CSV files (header row)."""
     return _csv(spark, path, schemas.FLIGHT_RAW)

@@ -139,3 +139,28 @@ def test_pipeline_stages(spark):
 def test_pipeline_run(spark):
     out = entry.queries()["pipeline"](spark, SF_SMALL)
     assert "copy" in out.columns and out.count() > 0
+
+
+def test_repeated_rows_meet_the_target(make_docs, monkeypatch):
+    """A third of all rows agree in id, source and text at a rate that is no whole number; copies differ between them."""
+    monkeypatch.setattr(mixing, "RUN", 100)
+    ten = " ".join(["w"] * 10)
+    rows = [(i, "v " * (i % 9 + 1), "en", "a") for i in range(1500)] + [(None, ten, "en", "b")] * 3000
+    docs = make_docs(rows).withColumn("size", F.lit(1)).withColumn("copy", F.lit("x")).repartition(5)
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows)
+    mine = [r for r in got if r["doc_id"] is None]
+    assert len(mine) == 3000 and 0 < mine[0]["target"] < 2 * mine[0]["source_size"]
+    assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 10 and len({r["taken"] for r in mine}) == 2
+    out = mixing.mixed_rows(docs.drop("copy"))
+    assert out.columns == [*docs.columns[:-1], "copy"]
+    taken = {r["doc_id"]: r["n"] for r in out.groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    assert taken.get(None) == sum(r["taken"] for r in mine) // 10
+    assert {k: v for k, v in taken.items() if k is not None} == {
+        r["doc_id"]: r["taken"] // r["size"] for r in got if r["doc_id"] is not None and r["taken"]}
+
+
+def test_rates_that_do_not_converge_raise(make_docs, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_STEPS", 1)
+    with pytest.raises(RuntimeError, match="converge"):
+        mixing.mix(make_docs([(i, "v " * (i % 9 + 1), "en", "ab"[i % 2]) for i in range(60)]))

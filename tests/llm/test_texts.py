@@ -273,3 +273,43 @@ def test_secret_query_runs_natively(spark):
     df = entry.queries()["op5_forest_secrets"](spark, SF_SMALL)
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
     assert df.where("label = 1 AND NOT secret").count() == 0
+
+
+@pytest.mark.parametrize("page, want", [
+    ('<div class="content-sidebar-wrap"><main><p>One two</p></main></div>', "One two"),
+    ('<main class="no-sidebar"><p>One</p></main>', "One"),
+    ('<div class="sidebar"><article class="post category-social"><p>One</p></article></div>', "One"),
+    ('<article class="post category-social"><p>One</p></article>', "One"),
+    ('<article><p>One</p><section id="related-work"><p>Two</p></section><div class="alert">Three</div>'
+     '<blockquote class="social-embed">Four</blockquote></article>', "One\n\nTwo\n\nThree\n\nFour"),
+    ('<article><p>One</p><div class="comments">no</div><div role="complementary">no</div><aside>no</aside><p>Two</p></article>', "One\n\nTwo"),
+    ('<div class="sidebar"><article>teaser</article></div><article><p>One</p></article>', "One"),
+    ('<body class="nav menu"><p>One</p><div class="wide menu">no</div><div data-role="search" class="menu-item">Two</div></body>', "One\n\nTwo"),
+])
+def test_names_never_drop_an_article(page, want):
+    assert templates.main_text(templates.parse(page), (), ()) == want
+
+
+def test_only_recurrence_removes_unnamed_templates(spark):
+    """Menus and notices without role names; the expectation counts subtrees by hand over the distinct pages of each host."""
+    rows, want = [], {}
+    for host, n, menu in (("a.org", 12, "Home News Contact"), ("b.org", 9, "Start Shop")):
+        for k in range(n):
+            blocks = [f'<div class="k1"><div>{x}</div></div>' for x in menu.split()] + [f"<p>Story {k} of {host} tells {'x' * (k + 1)} things.</p>",
+                      f"<p>It goes on {k} times.</p>", '<div class="k7">This site keeps what you read.</div>']
+            if k % 3 == 0:
+                blocks.append("<p>Quoted by a third.</p>")
+            rows.append((len(rows), f"https://{host}/{k}", "<body>" + "".join(blocks) + "</body>"))
+            want[len(rows) - 1] = (host, blocks)
+    counts = {}
+    for host, blocks in want.values():
+        for b in set(blocks):
+            counts[host, b] = counts.get((host, b), 0) + 1
+    sizes = {"a.org": 12, "b.org": 9}
+    import re
+    expect = {i: "\n\n".join(re.sub("<[^>]+>", "", b) for b in blocks if 2 * counts[host, b] < sizes[host]) for i, (host, blocks) in want.items()}
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in templates.extract(pages).collect()}
+    assert got == expect
+    assert all("Home" not in t and "keeps" not in t and "Story" in t for t in got.values())
+    assert any("Quoted" in t for t in got.values())

@@ -15,13 +15,14 @@ operations only.
    the order (size, hash of the id): a document gets as many copies as the sum
    passes whole numbers. The sum is split in offsets of size classes, of slices of a
    class and places in a slice, so no source or class has to meet in one task. A
-   source's taken tokens so miss the target by about one document.
+   source's taken tokens so miss the target by about one document. Rows that agree in id,
+   source, size and text are a block with one place: of its rows the sum gives all ``copies``, and ``extra`` of them one more.
 
 Sums that decide copies are taken over rates in whole millionths, so reruns agree.
 
 Defined cases: null, empty and blank texts have size 0 and get one copy in
-sources with a positive target but take no words; a source of size 0 has target 0; rows
-that agree in id, source and size count as a block whose copies are shared evenly (rounded);
+sources with a positive target but take no words; a source of size 0 has target 0; repeated rows
+are a block, see above, and which of them gets the extra copy makes no difference to the mix;
 a null id or source is a value of its own; an empty table gives no rows; ``documents``
 may have further columns, also ones named like the results.
 """
@@ -41,6 +42,8 @@ SHARE, MOST = 1.5, 2.0
 SLICE = 2000
 MAX_STEPS = 60
 MICRO = 1_000_000
+RUN = 10_000
+SOURCE_BYTES = 32 << 20
 
 
 def size_of(text: Column) -> Column:
@@ -110,12 +113,14 @@ def tilts(cells: DataFrame, targets: DataFrame, most: float = MOST) -> DataFrame
         state = stored(state, "tilt")
         if state.where("NOT done").isEmpty():
             break
+    else:
+        raise RuntimeError(f"the rates of a source did not converge in {MAX_STEPS} steps")
     return state.select("sid", "lam", "mean")
 
 
 def copies(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """Per distinct (doc_id, source, size) of ``sizes``: ``(doc_id, source, size, source_size, target, copies)``."""
-    keys = sizes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("m"))
+    """Per block, the ``m`` rows of ``sizes`` that agree in KEY: ``(*KEY, source_size, target, m, copies, extra)``."""
+    keys = sizes.groupBy(*KEY).agg(F.count("*").alias("m"))
     targets = stored(source_targets(sizes, weights, share, most), "targets")
     keys = stored(keys.join(targets.select(F.col("source").alias("_s"), "sid"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s"), "keys")
     cells = stored(keys.groupBy("sid", "size").agg(F.sum("m").alias("n")), "cells")
@@ -128,39 +133,73 @@ def copies(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, mos
     classes = Window.partitionBy("sid").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
     rated = stored(rated.withColumn("offset", F.coalesce(F.sum(F.col("n") * F.col("rate")).over(classes), F.lit(0)).cast("long"))
                    .withColumn("slices", F.ceil(F.col("n") / SLICE).cast("long")), "rated")
-    order = F.xxhash64("doc_id")
+    order = F.xxhash64("doc_id", "tkey")
     placed = (keys.join(rated.drop("n"), ["sid", "size"])
               .withColumn("h", order).withColumn("slice", F.pmod(F.xxhash64("h"), F.col("slices"))))
     counts = placed.groupBy("sid", "size", "slice").agg(F.sum("m").alias("k"))
     slices = Window.partitionBy("sid", "size").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("sid", "size", "slice", F.coalesce(F.sum("k").over(slices), F.lit(0)).alias("earlier"))
-    within = Window.partitionBy("sid", "size", "slice").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("sid", "size", "slice").orderBy("h", "doc_id", "tkey").rowsBetween(Window.unboundedPreceding, -1)
     placed = (placed.join(counts, ["sid", "size", "slice"])
               .withColumn("rank", F.col("earlier") + F.coalesce(F.sum("m").over(within), F.lit(0))))
     start = F.col("offset") + F.col("rank") * F.col("rate") + MICRO // 2
     whole = F.floor((start + F.col("m") * F.col("rate")) / MICRO) - F.floor(start / MICRO)
-    each = F.least(F.round(whole / F.col("m")).cast("long"), F.lit(int(most)))
-    return placed.select("doc_id", "source", "size", "source_size", "target", each.alias("copies"))
+    # No rate exceeds ``most``, so neither does the share of a row.
+    return placed.select(*KEY, "source_size", "target", "m", F.floor(whole / F.col("m")).cast("long").alias("copies"),
+                         F.pmod(whole, F.col("m")).cast("long").alias("extra"))
+
+
+KEY = ["doc_id", "source", "size", "tkey"]
 
 
 def _sizes(docs: DataFrame) -> DataFrame:
-    return stored(docs.select("doc_id", "source", size_of(F.col("text")).alias("size")), "sizes")
+    return stored(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), F.xxhash64("text").alias("tkey")), "sizes")
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """Per row of ``docs(doc_id, source, text)``: ``(doc_id, size, source_size, target, taken)``."""
-    sizes = _sizes(docs)
-    made = copies(sizes, weights, share, most).withColumnsRenamed({"doc_id": "_d", "source": "_s", "size": "_z"})
-    same = (F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")))
-    return sizes.join(made, same).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    made = copies(_sizes(docs), weights, share, most)
+    # The rows of a block are told apart by their copies alone; large blocks are written out in runs of RUN rows.
+    kinds = F.explode(F.array(F.struct((F.col("m") - F.col("extra")).alias("k"), F.col("copies").alias("c")),
+                              F.struct(F.col("extra").alias("k"), (F.col("copies") + 1).alias("c"))))
+    rows = made.select("doc_id", "size", "source_size", "target", kinds.alias("x")).select("*", "x.k", "x.c").where("k > 0")
+    rows = rows.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("k") - 1) / RUN))))
+    rows = rows.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(RUN).cast("long"), F.col("k") - F.col("run") * RUN))))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("c")).alias("taken"))
+
+
+def _light(made: DataFrame) -> bool:
+    """Whether a table of blocks may be broadcast: counted rows, and counted bytes of their source names."""
+    return small_enough(made) and made.agg(F.coalesce(F.sum(F.octet_length("_source")), F.lit(0))).first()[0] <= SOURCE_BYTES
 
 
 def mixed_rows(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """``docs`` with every row as often as the mix takes it, and ``copy`` from 1 up."""
-    made = copies(_sizes(docs), weights, share, most).where("copies > 0").select(
-        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"), F.col("copies").alias("_c"))
-    made = stored(made, "copies")
-    same = (F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (size_of(F.col("text")) == F.col("_z")))
-    side = F.broadcast(made) if small_enough(made) else made
-    return docs.join(side, same).select(*[docs[c] for c in docs.columns],
-                                        F.explode(F.sequence(F.lit(1).cast("long"), F.col("_c"))).alias("copy"))
+    made = copies(_sizes(docs), weights, share, most).where("copies > 0 OR extra > 0")
+    made = stored(made.select(*[F.col(c).alias("_" + c) for c in [*KEY, "m", "copies", "extra"]]), "copies")
+    named = "_" + "_".join(docs.columns)  # longer than any column's name
+
+    def joined(rows: DataFrame, side: DataFrame) -> DataFrame:
+        side = side.select(F.struct(*side.columns).alias(named), *[F.col(c) for c in ("_doc_id", "_source", "_size", "_tkey")])
+        same = (rows["doc_id"].eqNullSafe(F.col("_doc_id")) & rows["source"].eqNullSafe(F.col("_source"))
+                & (F.xxhash64(rows["text"]) == F.col("_tkey")) & (size_of(rows["text"]) == F.col("_size")))
+        return rows.join(F.broadcast(side) if _light(side) else side, same).select(*[rows[c] for c in rows.columns], named)
+
+    def written(rows: DataFrame, n: Column) -> DataFrame:
+        return rows.where(n > 0).select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("copy"))
+
+    block = F.col(named)
+    even = written(joined(docs, made.where("_extra = 0")), block["_copies"])
+    odd = made.where("_extra > 0")
+    if odd.isEmpty():
+        return even
+    # The rows of uneven blocks are numbered: by the part of the table that holds them, then inside it.
+    parts, row = F.struct(block, F.col(named + "p")), named + "r"
+    some = stored(joined(docs, odd).withColumn(named + "p", F.spark_partition_id()), "uneven")
+    counts = some.groupBy(block.alias("b"), F.col(named + "p").alias("p")).agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("b").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(F.struct("b", "p").alias("key"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(row + "0"))
+    inside = Window.partitionBy(parts).orderBy(F.xxhash64("text"))
+    some = some.withColumn(row, F.row_number().over(inside))
+    some = some.join(counts, (block == F.col("key")["b"]) & (F.col(named + "p") == F.col("key")["p"]))
+    return even.union(written(some, block["_copies"] + (F.col(row) + F.col(row + "0") <= block["_extra"]).cast("long")))

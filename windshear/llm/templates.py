@@ -12,7 +12,9 @@
    candidates. Near copies of an article keep only what differs, so they prove no template.
 4. Elements that name their own role go without counting, as hosts with few
    pages have no statistics: menus, page headers, footers, sidebars, forms,
-   scripts, styles, and elements whose class, id or role says advert, notice, comment and the like.
+   scripts, styles by their tag or role, and elements with one of a few exact names (``OUTSIDE``; inside
+   main elements ``INSIDE``) as a whole word of class or id. Main elements and those that hold one are never judged
+   by a name.
 5. What is left of the main elements (``article``, ``main``; the body where there is none)
    is cut to blocks at block elements; character references are decoded, white
    space inside a block becomes one space, blocks are joined by a blank line.
@@ -55,21 +57,24 @@ CLOSES_P = BLOCK - frozenset("body caption dd dt head html legend li tbody td tf
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
           "option": ({"option"}, {"select"})}
-# Words in class, id or role that mark parts beside the article.
-ASIDE = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie "
-                  "cookies disqus footer gdpr masthead menu nav navbar navigation newsletter notice pagination popup promo "
-                  "promoted related replies respond share sharing sidebar social sponsor sponsored subscribe toolbar widget "
-                  "contentinfo complementary search alert".split())
+# Roles, and whole names in class or id, of parts that are no article text wherever they stand, and
+# of parts that are none outside main elements.
+ROLES = frozenset("alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
+INSIDE = frozenset("ad ads advert advertisement adverts breadcrumb breadcrumbs comment-form comment-list comment-respond comments comments-area "
+                   "cookie-banner cookie-notice disqus_thread menu nav navbar newsletter-signup pagination share-buttons sharedaddy sidebar "
+                   "social-share sponsored".split())
+OUTSIDE = INSIDE | frozenset("alert banner comment consent cookie cookies footer gdpr masthead navigation newsletter notice popup promo related "
+                             "respond share sharing social subscribe toolbar widget".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_NAME = re.compile(r"[a-z]+")
+_ATTR = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
 class Element:
-    __slots__ = ("tag", "marks", "children", "digest", "hasher")
+    __slots__ = ("tag", "marks", "role", "children", "digest", "hasher", "holds")
 
-    def __init__(self, tag: str, marks: str):
-        self.tag, self.marks, self.children, self.digest = tag, marks, [], 0
+    def __init__(self, tag: str, marks: str, role: str = ""):
+        self.tag, self.marks, self.role, self.children, self.digest = tag, marks, role, [], 0
+        self.holds = False  # whether a main element is below
         self.hasher = hashlib.blake2b(f"{tag}|{marks}".encode(), digest_size=8)
 
     def add(self, child) -> None:
@@ -79,6 +84,7 @@ class Element:
         for c in self.children:
             self.hasher.update(c.digest.to_bytes(8, "little", signed=True) if isinstance(c, Element)
                                else " ".join(c.split()).encode("utf-8", "surrogatepass"))
+            self.holds = self.holds or isinstance(c, Element) and (c.holds or _is_main(c))
         self.digest = int.from_bytes(self.hasher.digest(), "little", signed=True)
         self.hasher = None
 
@@ -113,7 +119,8 @@ def parse(page: str | None) -> Element:
             continue
         if tag in ("html", "body") and len(stack) == 1 and tag == "html":
             continue
-        marks = " ".join(v for a in _ATTR.finditer(m.group(3)) for v in a.groups()[1:] if v)
+        named = [(a.group(1).lower(), v) for a in _ATTR.finditer(m.group(3)) for v in a.groups()[1:] if v]
+        marks, role = " ".join(v for _, v in named), next((v.strip().lower() for k, v in named if k == "role"), "")
         if tag in CLOSES_P:
             depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)
             if depth and not any(e.tag in BLOCK for e in stack[depth + 1:]):
@@ -128,7 +135,7 @@ def parse(page: str | None) -> Element:
                     break
                 if stack[i].tag in stop:
                     break
-        new = Element(tag, marks)
+        new = Element(tag, marks, role)
         stack[-1].add(new)
         if tag in VOID or m.group(3).endswith("/"):
             new.close()
@@ -146,9 +153,16 @@ def parse(page: str | None) -> Element:
 
 
 def _aside(e: Element, in_main: bool) -> bool:
+    """Whether an element names itself as no article text. Names of main elements, and of elements
+    that hold one, say nothing."""
     if e.tag in DROPPED or (e.tag == "header" and not in_main):
         return True
-    return bool(e.marks) and e.tag not in ("html", "body") and not ASIDE.isdisjoint(_NAME.findall(e.marks.lower()))
+    return not e.holds and not _is_main(e) and _named(e, in_main)
+
+
+def _named(e: Element, in_main: bool) -> bool:
+    return bool(e.marks) and e.tag not in ("html", "body") and (
+        e.role in ROLES or not (INSIDE if in_main else OUTSIDE).isdisjoint(e.marks.lower().split()))
 
 
 def _is_main(e: Element) -> bool:
@@ -182,16 +196,19 @@ def sized_subtrees(root: Element) -> list[tuple[int, bool, int]]:
 
 def main_text(root: Element, template, main_template) -> str:
     """The blocks of the main elements without template subtrees, in page order."""
-    mains = []
-    todo = [root]
+    found = []
+    todo = [(root, False)]
     while todo:
-        e = todo.pop()
+        e, beside = todo.pop()
         if e is not root and _aside(e, False):
             continue
         if e is not root and _is_main(e):
-            mains.append(e)
+            found.append((e, beside))
             continue
-        todo.extend(c for c in reversed(e.children) if isinstance(c, Element))
+        beside = beside or _named(e, False)
+        todo.extend((c, beside) for c in reversed(e.children) if isinstance(c, Element))
+    # Main elements in parts beside the article are teasers, unless there are no others.
+    mains = [e for e, beside in found if not beside] or [e for e, _ in found]
     blocks, line = [], []
 
     def flush() -> None:

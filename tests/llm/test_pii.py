@@ -82,3 +82,41 @@ def test_query_against_brute_force(spark):
         base = [f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in brute(docs[r["doc_id"]])]
         assert r["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
         assert set(base) <= set(r["spans"].split(","))
+
+
+def found(text):
+    return [(pii.KINDS[k], text[s:e]) for s, k, e in sorted(pii.spans(text)[0] + pii.spans(text)[1])]
+
+
+@pytest.mark.parametrize("text, kind, whole", [
+    ("write to jоhn@gmail.com now", "email", "jоhn@gmail.com"),
+    ("write to jo​hn@gmail.com now", "email", "jo​hn@gmail.com"),
+    ("mail john at gmail.com or", "email", "john at gmail.com"),
+    ("mail john.doe2 at example.org or", "email", "john.doe2 at example.org"),
+    ("ip one nine two dot one six eight dot one dot one end", "ip", "one nine two dot one six eight dot one dot one"),
+    ("ip 10 dot 0 dot zero dot seven end", "ip", "10 dot 0 dot zero dot seven"),
+    ("at john dot a dot b dot c dot d dot e at host dot com ok", "email", "john dot a dot b dot c dot d dot e at host dot com"),
+    (f"x {'l' * 70} at {'h' * 80} dot org y", "email", f"{'l' * 70} at {'h' * 80} dot org"),
+    ("x john     [at]      host     (dot)    org y", "email", "john     [at]      host     (dot)    org"),
+    ("call plus four nine    one five one two three four five six seven eight now", "phone",
+     "plus four nine    one five one two three four five six seven eight"),
+])
+def test_disguises_are_found_whole(text, kind, whole):
+    assert (kind, whole) in found(text)
+    assert pii.redacted(text) == text.replace(whole, f"[{kind.upper()}]")
+
+
+@pytest.mark.parametrize("text", ["we met at noon. Then left", "look at 1.25 of it", "one dot two dot three", "at a.b", "point one two",
+                                  "stood at leosrm.25 here", "one two", "the dot at the end"])
+def test_plain_prose_stays(text):
+    assert pii.spans(text) == ([], []) and pii.redacted(text) == text
+
+
+def test_long_disguises_take_linear_time():
+    import time
+
+    began = time.time()
+    for text in ("x dot " * 20_000, "a at " * 20_000, " " * 50_000 + "dot at", "one " * 20_000, "[at] " * 20_000,
+                 "a@b.cc jo​e@b.cc " * 4_000, "1 dot " * 20_000, "one dot " * 20_000):
+        pii.spans(text)
+    assert time.time() - began < 20

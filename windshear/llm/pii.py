@@ -12,12 +12,14 @@ character the source characters it stands for:
   digits of any script become ASCII; invisible characters go;
 * runs of at least ``MIN_SPELLED`` spelled digits (English, German, French,
   Spanish) become digits, "plus" before them a plus sign;
+* four octets of spelled digits or numbers between spelled dots become an address;
 * ``[at]``, ``(dot)`` and the like become ``@`` and ``.``, plain " at " and
-  " dot " only in the form "name at host dot domain" or between numbers.
+  " dot " only in the form "name dot name at host dot domain", between numbers, or as "name at host.domain" if
+  the host is a known mail provider or the name holds a digit, dot or the like.
 
 The same patterns run over the result. A match that holds at least one rewritten
-character is mapped back to its source span and added, unless it overlaps a plain
-span of its kind.
+character is mapped back to its source span and added, unless a plain span of its kind
+covers it. A wider one is added beside the plain span that it holds.
 
 Defined cases: null and empty texts have no spans; repeated rows are each
 reported; ties at one start are in kind order; an empty table gives no rows;
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -64,16 +67,27 @@ _SPELLED = {
     "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
 }
 _DIGIT = "(?:" + "|".join(sorted(_SPELLED, key=len, reverse=True)) + ")"
-_RUN = re.compile(rf"(?<!\w)(?:(plus)[\s-]{{1,3}})?({_DIGIT}(?:[\s,.-]{{1,3}}(?:{_DIGIT}(?!\w)|[0-9]{{1,4}}(?!\w))){{{MIN_SPELLED - 1},40}})(?!\w)", re.I)
+_GAP = r"(?:\s++[,.-]?\s*+|[,.-]\s*+)"
+_RUN = re.compile(rf"(?<!\w)(?:(plus)(?:\s++-?\s*+|-\s*+))?({_DIGIT}(?:{_GAP}(?:{_DIGIT}(?!\w)|[0-9]{{1,4}}(?!\w))){{{MIN_SPELLED - 1},}})(?!\w)", re.I)
 _RUN_PART = re.compile(rf"({_DIGIT})(?!\w)|([0-9])", re.I)
-_AT = re.compile(r"\s{0,3}[\[({<]\s{0,2}(?:at|@|arroba)\s{0,2}[\])}>]\s{0,3}", re.I)
-_DOT = re.compile(r"\s{0,3}[\[({<]\s{0,2}(?:dot|\.|punkt|punto|point)\s{0,2}[\])}>]\s{0,3}", re.I)
-_PLAIN = re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]{1,64}(?:\s{1,3}dot\s{1,3}[A-Za-z0-9._%+-]{1,64}){0,3})(\s{1,3}at\s{1,3}|@)[A-Za-z0-9-]{1,63}((?:\s{1,3}dot\s{1,3}[A-Za-z0-9-]{1,63})+)", re.I)
-_PLAIN_DOT = re.compile(r"\s{1,3}dot\s{1,3}", re.I)
-_NUMBER_DOT = re.compile(r"(?<=[0-9])\s{1,3}dot\s{1,3}(?=[0-9])", re.I)
+# Four octets of spelled digits or numbers, with spelled dots.
+_OCTET = rf"(?:{_DIGIT}(?:[\s-]++{_DIGIT}){{0,2}}+|[0-9]{{1,3}}+)"
+_OCTETS = re.compile(rf"(?<!\w){_OCTET}(?:\s++(?:dot|punkt|punto|point)\s++{_OCTET}){{3}}(?!\w)", re.I)
+_OCTET_PART = re.compile(rf"({_DIGIT})(?!\w)|([0-9])|(\s++(?:dot|punkt|punto|point)\s++)", re.I)
+_AT = re.compile(r"[\[({<]\s*+(?:at|@|arroba)\s*+[\])}>]", re.I)
+_DOT = re.compile(r"[\[({<]\s*+(?:dot|\.|punkt|punto|point)\s*+[\])}>]", re.I)
+# "name at host": the sign or the word after a name; the host, with real or spelled dots; a last label of letters.
+_ANCHOR = re.compile(r"(?<=[A-Za-z0-9._%+-])(?:\s++at\s++|@)(?=[A-Za-z0-9-])", re.I)
+_HOST = re.compile(r"[A-Za-z0-9-]++(?:(?:\s++dot\s++|\.)[A-Za-z0-9-]++)++", re.I)
+_TOP = re.compile(r"[.\s][A-Za-z]{2,24}\Z")
+# First labels of hosts that give mail addresses. "meet at example.com" is no address, "john at gmail.com" is.
+_MAIL = frozenset("aol fastmail gmail gmx googlemail hotmail icloud live mail mailbox msn outlook posteo proton protonmail qq web yahoo yandex".split())
+_ODD_NAME = re.compile(r"[A-Za-z0-9][._%+-][A-Za-z0-9]|[0-9]")
+_PLAIN_DOT = re.compile(r"(?<!\s)\s++dot\s++", re.I)
+_NUMBER_DOT = re.compile(r"(?<=[0-9])\s++dot\s++(?=[0-9])", re.I)
 _ODD = re.compile("[" + "".join(_LOOKS) + _INVISIBLE + "！-～\U0001d400-\U0001d7ff"
                   "٠-٩۰-۹०-९①-⑳²³¹⁰-⁹₀-₉]")
-_HINT = re.compile(r"(?:[\[({<]\s{0,2}(?:at|@|arroba|dot|\.|punkt|punto|point)\s{0,2}[\])}>])|\sdot\s", re.I)
+_HINT = re.compile(r"(?:[\[({<]\s*+(?:at|@|arroba|dot|\.|punkt|punto|point)\s*+[\])}>])|\s(?:dot|punkt|punto|point)\s|\sat\s++[A-Za-z0-9-]++\.[A-Za-z0-9]", re.I)
 
 
 def _luhn(digits: str) -> bool:
@@ -162,6 +176,70 @@ def _spelled(m: re.Match) -> list[tuple[int, int, str]]:
     return out
 
 
+def _octets(m: re.Match) -> list[tuple[int, int, str]]:
+    """Spelled octets as digits and dots."""
+    out, at = [], m.start()
+    for part in _OCTET_PART.finditer(m.string, m.start(), m.end()):
+        if part.start() > at:
+            out.append((at, part.start(), ""))
+        if part.group(1):
+            out.append((part.start(), part.end(), _SPELLED[part.group(1).lower()]))
+        elif part.group(3):
+            out.append((part.start(), part.end(), "."))
+        at = part.end()
+    return out
+
+
+def _widened(text: str, found, new: str) -> list[tuple[int, int, str]]:
+    """Edits of bracketed words, with the white space around them."""
+    out, last = [], 0
+    for m in found:
+        a, b = m.span()
+        while a > last and text[a - 1].isspace():
+            a -= 1
+        while b < len(text) and text[b].isspace():
+            b += 1
+        out.append((a, b, new))
+        last = b
+    return out
+
+
+def _spoken(text: str) -> list[tuple[int, int, str]]:
+    """Edits of "name dot name at host dot domain": from each sign or word "at" the host is read to the right,
+    the name to the left, at most to the previous host."""
+    out, last = [], 0
+    for m in _ANCHOR.finditer(text):
+        host = _HOST.match(text, m.end()) if m.start() >= last else None
+        if host is None or (m.group() != "@" and not _TOP.search(host.group())):
+            continue
+        edits = [(d.start(), d.end(), ".") for d in _PLAIN_DOT.finditer(text, m.end(), host.end())]
+        if m.group() != "@":
+            edits.insert(0, (m.start(), m.end(), "@"))
+        at = m.start()
+        while True:
+            while at > last and text[at - 1] in _LOCAL:
+                at -= 1
+            gap = at
+            while gap > last and text[gap - 1].isspace():
+                gap -= 1
+            word = gap - 3
+            if gap == at or word <= last or text[word:gap].lower() != "dot" or not text[word - 1].isspace():
+                break
+            a = word
+            while a > last and text[a - 1].isspace():
+                a -= 1
+            if a == last or text[a - 1] not in _LOCAL:
+                break
+            edits.insert(0, (a, at, "."))
+            at = a
+        if m.group() != "@" and " dot " not in " ".join(text[at:host.end()].lower().split()):
+            if host.group().split(".")[0].lower() not in _MAIL and not _ODD_NAME.search(text[at:m.start()]):
+                continue
+        out += edits
+        last = host.end()
+    return out
+
+
 def normalised(text: str) -> Aligned | None:
     """The text after all transducers; None if none of them changes it."""
     odd, run, hint = _ODD.search(text), _RUN.search(text), _HINT.search(text)
@@ -170,17 +248,13 @@ def normalised(text: str) -> Aligned | None:
     a = Aligned(text)
     if odd:
         a.rewrite([(m.start(), m.end(), _ascii(m.group())) for m in _ODD.finditer(a.text) if _ascii(m.group()) != m.group()])
-    if run or odd:
+    if hint or odd:
+        a.rewrite([e for m in _OCTETS.finditer(a.text) for e in _octets(m)])
+    if run or odd or hint:
         a.rewrite([e for m in _RUN.finditer(a.text) for e in _spelled(m)])
-    for pattern, s in ((_AT, "@"), (_DOT, ".")):
-        a.rewrite([(m.start(), m.end(), s) for m in pattern.finditer(a.text)])
-    edits = []
-    for m in _PLAIN.finditer(a.text):
-        edits += [(d.start(), d.end(), ".") for d in _PLAIN_DOT.finditer(a.text, m.start(1), m.end(1))]
-        if m.group(2) != "@":
-            edits.append((m.start(2), m.end(2), "@"))
-        edits += [(d.start(), d.end(), ".") for d in _PLAIN_DOT.finditer(a.text, m.start(3), m.end(3))]
-    a.rewrite(edits)
+    for pattern, new in ((_AT, "@"), (_DOT, ".")):
+        a.rewrite(_widened(a.text, pattern.finditer(a.text), new))
+    a.rewrite(_spoken(a.text))
     a.rewrite([(m.start(), m.end(), ".") for m in _NUMBER_DOT.finditer(a.text)])
     return a
 
@@ -193,13 +267,20 @@ def spans(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     a = normalised(text)
     if a is None:
         return base, []
-    added = []
+    # Plain spans of a kind don't overlap, so the last one that begins before a span is the one that may cover it.
+    own = [([], []) for _ in KINDS]
+    for s, kind, e in base:
+        own[kind][0].append(s)
+        own[kind][1].append(e)
+    added = set()
     for s, kind, e in plain_spans(a.text):
-        if any(a.new[s:e]) or a.hi[e - 1] - a.lo[s] != e - s:
-            lo, hi = a.lo[s], a.hi[e - 1]
-            if not any(k == kind and lo < be and bs < hi for bs, k, be in base):
-                added.append((lo, kind, hi))
-    return base, sorted(set(added))
+        lo, hi = a.lo[s], a.hi[e - 1]
+        if any(a.new[s:e]) or hi - lo != e - s:
+            starts, ends = own[kind]
+            at = bisect_right(starts, lo) - 1
+            if at < 0 or ends[at] < hi:
+                added.add((lo, kind, hi))
+    return base, sorted(added)
 
 
 def _joined(found) -> str:

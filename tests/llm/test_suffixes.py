@@ -98,3 +98,16 @@ def test_empty_benchmarks_and_chunks_match_nothing(spark, make_docs, monkeypatch
     assert rows(sx.contamination(make_docs(docs), bench)) == brute(docs, items)
     left = sorted(str(r["doc_id"]) for r in sx.keep_uncontaminated(make_docs(docs), bench).collect())
     assert left == (["1", "1", "2"] if items and len(items[0][1] or "") > 9 else ["1", "1", "2", "None"])
+
+
+def test_one_passage_in_many_items_and_documents_is_no_product():
+    """800 items that hold the same 40 words, against 1,000 copies in one shard."""
+    import time
+
+    passage = [f"w{k}" for k in range(40)]
+    p = sx.probe([(f"i{k}", " ".join([f"a{k}", *passage])) for k in range(800)], 10)
+    docs = [[b"x", *(w.encode() for w in passage), f"z{k}".encode()] for k in range(1000)]
+    began = time.time()
+    got = sx.match_shard(docs, p)
+    assert time.time() - began < 4
+    assert all(hit == 40 and len(its) == 800 and best[0] == 40 and best[1] == 1 for hit, _, its, best in got)

@@ -78,7 +78,7 @@ def test_words_of_any_length_count_whole(make_docs):
     """Text without separators is one word: all of it is learned and judged, not its first 200 letters."""
     train = make_docs([(i, t, g) for i, (t, g) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 40)])
     model = langid.fit(train)
-    assert model.predict("the" * 70 + "hundkatze" * 200, {})[0] == "de"
+    assert model.predict("the" * 70 + "hundkatze" * 200)[0] == "de"
     learned = langid.fit(make_docs([(i, "a" * 200 + "qzqzqzqz" * 5, "xx") for i in range(20)]))
     assert "qzqzq" in learned.grams
 
@@ -93,7 +93,7 @@ def test_rare_languages_and_texts_beside_copies_are_learned(make_docs):
     got = langid.sample(train, 20).collect()
     assert len({r["text"] for r in got}) == len(got) and sum(r["text"].startswith("copied") for r in got) == 1
     model = langid.fit(train, 20)
-    assert model.langs == ["en", "et"] and model.predict("metsa kass", {})[0] == "et"
+    assert model.langs == ["en", "et"] and model.predict("metsa kass")[0] == "et"
 
 
 # --- 8 toxicity ------------------------------------------------------------------------
@@ -313,3 +313,45 @@ def test_only_recurrence_removes_unnamed_templates(spark):
     assert got == expect
     assert all("Home" not in t and "keeps" not in t and "Story" in t for t in got.values())
     assert any("Quoted" in t for t in got.values())
+
+
+def test_numerals_are_no_letters_and_marks_belong_to_words(make_docs):
+    train = make_docs([(i, t, g) for i, (t, g) in enumerate([("the cat and the dog", "en"), ("यह हिन्दी है", "hi")] * 40)])
+    model = langid.fit(train)
+    for text in ("½", "² ③ ①", "Ⅷ", "12 _ !", "́"):
+        assert model.predict(text) == ("und", 0.0)
+    assert langid.words_of("हिन्दी Ça") == ["हिन्दी", "ça"]
+    assert model.predict("हिन्दी")[0] == "hi"
+
+
+def test_a_hundred_languages_are_held_sparse(make_docs):
+    rnd = random.Random(4)
+    words = {f"l{g:03}": ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randrange(3, 9))) for _ in range(40)] for g in range(100)}
+    rows = [(i, " ".join(rnd.choices(words[g], k=30)), g) for i, g in enumerate(sorted(words) * 12)]
+    model = langid.fit(make_docs(rows))
+    assert len(model.langs) == 100 and len(model.items) > 4000
+    assert len(model.score) < 4 * len(model.items)  # not items x languages
+    fresh = [(" ".join(rnd.choices(words[g], k=8)), g) for g in words]
+    assert sum(model.predict(t)[0] == g for t, g in fresh) >= 98
+
+
+def test_sparse_scores_equal_counting_by_hand(make_docs):
+    """Word scores against plain counts, for a small corpus in which every item is kept."""
+    import math
+    from collections import Counter
+
+    texts = {"en": "the cat and the dog", "de": "der hund und die katze and"}
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, f"{texts[g]} n{chr(97 + k % 20)}", g) for k, (i, g) in enumerate((i, "en" if i % 2 else "de") for i in ids)]
+    model = langid.fit(make_docs(rows))
+    seen, weight = Counter(), Counter()
+    for text, g in {(t, g) for _, t, g in rows}:
+        n = 1 + int(math.log2(sum(t == text and x == g for _, t, x in rows)))
+        for w in text.split():
+            seen[w, g] += n
+    for (w, g), n in list(seen.items()):
+        if sum(seen[w, x] for x in texts) >= langid.LEAST_WORD:
+            weight[g] += n
+    for w in ("the", "and", "hund"):
+        want = [round(math.log((seen[w, g] + 0.5) / (weight[g] + 1.0)), 4) for g in model.langs]
+        assert np.allclose(model.word_scores(w), want, atol=1e-3)

@@ -14,7 +14,10 @@ hashes, and of each language all up to ``LANGUAGE_ROWS``, else about as many, by
 that rare languages are learned. A text that stands n times counts 1 + log2(n) times. The id,
 language and source of a document are not inputs of its prediction.
 
-Defined cases: null text and text without letters give ``und`` with score 0; a row with null language
+The model holds only the languages that an item was seen in, so that it grows with the sample and not
+with items x languages; its scores are computed in Spark.
+
+Defined cases: null text and text without letters (numerals such as a half or a Roman eight are none) give ``und`` with score 0; a row with null language
 is not learned from; without any training row every text is ``und``; repeated rows are
 predicted alike; an empty table gives no rows; extra columns are ignored.
 """
@@ -23,9 +26,11 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from dataclasses import dataclass
 
+import numpy as np
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,58 +39,88 @@ from windshear.llm.common import held_out, map_rows, share, small_enough, stored
 SAMPLE_ROWS, LANGUAGE_ROWS = 10_000, 1_000
 LEAST_WORD, LEAST_GRAM, LONGEST = 3, 3, 5
 SHARP = 20
-WORD = re.compile(r"[^\W\d_]+")
+HELD, HELD_SCORES = 50_000, 4_000_000
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+ASCII_WORD = re.compile("[a-z]+")
+
+
+def words_of(text: str) -> list[str]:
+    """Runs of letters with their marks, in lower case. Letters are those of Unicode's category L: numerals are none."""
+    return ASCII_words_of(text) if text.isascii() else words_of(text)
 
 
 @dataclass
 class Model:
-    """Scores per language, aligned with ``langs``; the size is bounded by the training sample."""
+    """Log frequencies per item and language; the size is bounded by the training sample. Only the languages
+    an item was seen in are held; the others share a value by the item's size (0 for words)."""
     langs: list[str]
-    words: dict[str, tuple]
-    grams: dict[str, tuple]
-    unknown: tuple
-
-    def word_scores(self, word: str) -> tuple:
+    items: list[str]
+    sizes: np.ndarray
+    start: np.ndarray  # of an item's entries
+    lang: np.ndarray
+    score: np.ndarray
+    unseen: np.ndarray  # size x language
+
+    def __post_init__(self):
+        self.words, self.grams = {}, {}
+        for i, (item, size) in enumerate(zip(self.items, self.sizes.tolist())):
+            (self.grams if size else self.words)[item] = i
+        self.memo: dict[str, int] = {}
+        self.held = np.zeros((max(1000, min(HELD, HELD_SCORES // max(1, len(self.langs)))), len(self.langs)))
+
+    def __reduce__(self):
+        return Model, (self.langs, self.items, self.sizes, self.start, self.lang, self.score, self.unseen)
+
+    def _dense(self, i: int) -> np.ndarray:
+        out = self.unseen[self.sizes[i]].copy()
+        out[self.lang[self.start[i]:self.start[i + 1]]] = self.score[self.start[i]:self.start[i + 1]]
+        return out
+
+    def word_scores(self, word: str) -> np.ndarray:
         known = self.words.get(word)
         if known is not None:
-            return known
-        total, pieces, at = [0.0] * len(self.langs), 0, 0
+            return self._dense(known)
+        total, pieces, at = np.zeros(len(self.langs)), 0, 0
         marked = f"<{word}>"
         while at < len(marked):
             for n in range(LONGEST, 0, -1):
                 known = self.grams.get(marked[at:at + n])
                 if known is not None:
+                    total += self._dense(known)
                     break
-            for k, v in enumerate(known or self.unknown):
-                total[k] += v
             pieces += 1
             at += n
-        return tuple(t / pieces for t in total)
+        return total / pieces
 
-    def predict(self, text: str | None, memo: dict[str, tuple]) -> tuple[str, float]:
-        counts = Counter(WORD.findall(text.lower())) if text else None
+    def _row(self, word: str) -> int:
+        if len(self.memo) == len(self.held):
+            self.memo.clear()
+        at = self.memo[word] = len(self.memo)
+        self.held[at] = self.word_scores(word)
+        return at
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        counts = Counter(words_of(text)) if text else None
         if not counts or not self.langs:
             return "und", 0.0
-        total = [0.0] * len(self.langs)
-        n = 0
-        for w, c in counts.items():
-            s = memo.get(w)
-            if s is None:
-                if len(memo) > 500_000:
-                    memo.clear()
-                s = memo[w] = self.word_scores(w)
-            n += c
-            for k, v in enumerate(s):
-                total[k] += c * v
-        best = max(range(len(total)), key=lambda k: total[k])
+        total, n, found = np.zeros(len(self.langs)), 0, list(counts.items())
+        for lo in range(0, len(found), 500):  # fewer than are held, so that no row is replaced while it is used
+            part = found[lo:lo + 500]
+            if len(self.memo) + len(part) > len(self.held):
+                self.memo.clear()
+            rows = [self.memo[w] if w in self.memo else self._row(w) for w, _ in part]
+            weights = np.array([c for _, c in part], float)
+            n += int(weights.sum())
+            total += weights @ self.held[rows]
+        best = int(total.argmax())
         sharp = min(n, SHARP) / n
-        return self.langs[best], 1 / sum(math.exp(max(-700.0, (t - total[best]) * sharp)) for t in total)
+        return self.langs[best], float(1 / np.exp(np.maximum(-700.0, (total - total[best]) * sharp)).sum())
 
 
 def _word_counts(cols):
     words = Counter()
     for text, lang, weight in zip(cols["text"], cols["lang"], cols["weight"]):
-        for w in WORD.findall(text.lower()):
+        for w in words_of(text):
             words[w, lang] += weight
     return {"item": [k[0] for k in words], "lang": [k[1] for k in words], "n": list(words.values())}
 
@@ -100,12 +135,6 @@ def _gram_counts(cols):
     return {"item": [k[0] for k in grams], "lang": [k[1] for k in grams], "n": list(grams.values())}
 
 
-def _collected(counts: DataFrame, least: int) -> list:
-    """``(item, [(lang, n)])`` of the items seen at least ``least`` times."""
-    each = counts.groupBy("item").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by"))
-    return each.where(F.col("all") >= least).select("item", "by").collect()
-
-
 def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, each: int = LANGUAGE_ROWS) -> DataFrame:
     """``(text, lang, weight)``: the training texts, each once per language."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
@@ -124,35 +153,47 @@ def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, each: int = LANGUAGE_ROWS)
 
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
+    """The model of a bounded sample. Spark counts and scores; the driver receives each kept item once,
+    with the languages it was seen in, as Arrow columns."""
     schema = "item string, lang string, n long"
     by_item = lambda df: df.groupBy("item", "lang").agg(F.sum("n").alias("n"))
     word_counts = stored(by_item(map_rows(sample(docs, rows), _word_counts, schema, ["text", "lang", "weight"], chunk=1024)), "words")
     gram_counts = by_item(map_rows(word_counts, _gram_counts, schema, ["item", "lang", "n"], chunk=8192))
-    got = [("w", r["item"], r["by"]) for r in _collected(word_counts, LEAST_WORD)]
-    got += [("g", r["item"], r["by"]) for r in _collected(gram_counts, LEAST_GRAM)]
-    totals = defaultdict(float)
-    for kind, item, by in got:
-        for x in by:
-            totals[kind, len(item) if kind == "g" else 0, x["lang"]] += x["n"]
-    langs = sorted({k[2] for k in totals})
-
-    def scores(kind: str, item: str, by) -> tuple:
-        size = len(item) if kind == "g" else 0
-        n = {x["lang"]: x["n"] for x in by}
-        return tuple(round(math.log((n.get(g, 0) + 0.5) / (totals.get((kind, size, g), 0.0) + 1.0)), 4) for g in langs)
 
-    words = {item: scores(kind, item, by) for kind, item, by in got if kind == "w"}
-    grams = {item: scores(kind, item, by) for kind, item, by in got if kind == "g"}
-    return Model(langs, words, grams, tuple(0.0 for _ in langs))
+    def kept(counts: DataFrame, least: int, size) -> DataFrame:
+        each = counts.groupBy("item").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by"))
+        return each.where(F.col("all") >= least).select("item", size.alias("size"), "by")
+
+    items = stored(kept(word_counts, LEAST_WORD, F.lit(0)).union(kept(gram_counts, LEAST_GRAM, F.char_length("item"))), "items")
+    pairs = items.select("item", "size", F.explode("by").alias("x")).select("item", "size", "x.*")
+    totals = {(r["size"], r["lang"]): r["n"] for r in pairs.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
+    langs = sorted({g for _, g in totals})
+    unseen = np.array([[math.log(0.5 / (totals.get((size, g), 0) + 1.0)) for g in langs] for size in range(LONGEST + 1)]).round(4)
+    unseen = unseen.reshape(LONGEST + 1, len(langs))
+    if not langs:
+        return Model([], [], *(np.empty(0, np.int64),) * 4, unseen)
+    # One row for each size and language.
+    side = docs.sparkSession.createDataFrame([(s, g, langs.index(g), float(n)) for (s, g), n in totals.items()],
+                                             "size int, lang string, k int, total double")
+    scored = pairs.join(F.broadcast(side), ["size", "lang"]).withColumn("s", F.round(F.log((F.col("n") + 0.5) / (F.col("total") + 1.0)), 4))
+    table = (scored.groupBy("size", "item").agg(F.collect_list(F.struct("k", "s")).alias("x"))
+             .select("item", "size", F.col("x.k").alias("k"), F.col("x.s").alias("s")).toArrow().combine_chunks())
+    lists = table.column("k").combine_chunks()
+    lists = lists.chunk(0) if hasattr(lists, "chunk") else lists
+    scores = table.column("s").combine_chunks()
+    scores = scores.chunk(0) if hasattr(scores, "chunk") else scores
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
+    return Model(langs, table.column("item").to_pylist(), table.column("size").to_numpy(), np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64),
+                 lists.flatten().to_numpy(), scores.flatten().to_numpy().astype(np.float32), unseen)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``(doc_id, lang_pred, score)`` for every row of ``docs(doc_id, text)``."""
     get = share(docs.sparkSession, model)
-    memo: dict[str, tuple] = {}
 
     def run(cols):
-        got = [get().predict(t, memo) for t in cols["text"]]
+        model = get()
+        got = [model.predict(t) for t in cols["text"]]
         return {"doc_id": cols["doc_id"], "lang_pred": [g[0] for g in got], "score": [g[1] for g in got]}
 
     return map_rows(docs, run, "doc_id long, lang_pred string, score double", ["doc_id", "text"])

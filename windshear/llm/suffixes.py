@@ -138,7 +138,9 @@ def match_shard(docs_words: list[list[bytes]], p: Probe):
         if ws:
             text[b:b + len(ws)] = np.fromiter((get(w, 0) for w in ws), np.int64, len(ws))
     cover = np.zeros(len(text) + 1, np.int64)
-    items: list[set] = [set() for _ in docs_words]
+    # Documents share few different sets of items, so each set is kept once.
+    sets: dict[frozenset, int] = {}
+    own: list[set[int]] = [set() for _ in docs_words]
     longest = [(0, -1, -1) for _ in docs_words]
     for depth, sa, (at, lo, hi) in search(text, p):
         full = p.window[at] == depth
@@ -147,23 +149,27 @@ def match_shard(docs_words: list[list[bytes]], p: Probe):
             for i, a, b in zip(p.item[at[full]].tolist(), lo[full].tolist(), hi[full].tolist()):
                 spans.setdefault((a, b), set()).add(i)
             for (a, b), its in spans.items():
+                number = sets.setdefault(frozenset(its), len(sets))
                 pos = sa[a:b]
                 np.add.at(cover, pos, 1)
                 np.add.at(cover, pos + depth, -1)
                 for d in np.unique(np.searchsorted(begin, pos, side="right") - 1).tolist():
-                    items[d] |= its
+                    own[d].add(number)
         # The range that is visited last is the longest; the smallest place and item win ties.
-        if len(at):
-            size = hi - lo
-            flat = np.repeat(lo - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum()) if depth >= 3 else None
-            if flat is not None:
-                pos = sa[flat]
-                doc = np.searchsorted(begin, pos, side="right") - 1
-                who = np.repeat(p.item[at], size)
-                order = np.lexsort((who, pos, doc))
-                one = np.flatnonzero(np.r_[True, doc[order][1:] != doc[order][:-1]])
-                for k in order[one].tolist():
-                    longest[doc[k]] = (depth, int(pos[k] - begin[doc[k]]), int(who[k]))
+        if len(at) and depth >= 3:
+            # Ranges of one depth are equal or apart: of the probes that share one, the smallest item stands for all.
+            order = np.lexsort((p.item[at], lo))
+            one = order[np.r_[True, lo[order][1:] != lo[order][:-1]]]
+            size = hi[one] - lo[one]
+            flat = np.repeat(lo[one] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+            pos, who = sa[flat], np.repeat(p.item[at[one]], size)
+            doc = np.searchsorted(begin, pos, side="right") - 1
+            order = np.lexsort((pos, doc))
+            for k in order[np.r_[True, doc[order][1:] != doc[order][:-1]]].tolist():
+                longest[doc[k]] = (depth, int(pos[k] - begin[doc[k]]), int(who[k]))
+    known = list(sets)
+    united = {key: frozenset().union(*(known[i] for i in key)) for key in set(map(frozenset, own))}
+    items = [united[frozenset(x)] for x in own]
     inside = np.cumsum(cover) > 0
     return [(int(inside[b:b + n].sum()), inside[b:b + n], its, best)
             for b, n, its, best in zip(begin.tolist(), lengths, items, longest)]

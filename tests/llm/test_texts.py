@@ -355,3 +355,47 @@ def test_sparse_scores_equal_counting_by_hand(make_docs):
     for w in ("the", "and", "hund"):
         want = [round(math.log((seen[w, g] + 0.5) / (weight[g] + 1.0)), 4) for g in model.langs]
         assert np.allclose(model.word_scores(w), want, atol=1e-3)
+
+
+def test_the_forest_overrules_wrong_labels(make_docs):
+    """A plain word assigned to a key is labelled 1, a random value in a sentence 0; the forest sees neither signal."""
+    rnd = random.Random(6)
+    hexa = lambda: "".join(rnd.choices("0123456789abcdef", k=40))
+    long_word = lambda: "".join(rnd.choices(["ver", "heit", "ung", "tion", "ing", "ment"], k=6))
+    rows = []
+    for i in range(150):
+        rows += [(4 * i, f'here token = "{hexa()}" follows'), (4 * i + 1, f"some {long_word()} here and there")]
+        if i % 15 == 0:
+            rows += [(4 * i + 2, f"my password = {long_word()} ok"), (4 * i + 3, f"it was {hexa()} of course")]
+    got = {r["doc_id"]: r for r in secrets.scan(make_docs(rows)).collect()}
+    assert {(r["label"], r["secret"]) for k, r in got.items() if k % 4 == 2} == {(1, False)}
+    assert {(r["label"], r["secret"]) for k, r in got.items() if k % 4 == 3} == {(0, True)}
+    assert all(r["secret"] == (k % 4 == 0) for k, r in got.items() if k % 4 < 2)
+
+
+def test_reviewed_findings_train_the_forest(spark, make_docs):
+    """Given labels replace the rule: here reviewers took values of digits for secrets and hexadecimal ones for none."""
+    rnd = random.Random(7)
+    rows = [(i, f"id {''.join(rnd.choices('0123456789' if i % 2 else 'abcdef', k=24))} end") for i in range(200)]
+    reviewed = spark.createDataFrame([(i, 1, 0, i % 2) for i in range(0, 120)] + [(1, 1, 0, 0)], "doc_id long, at long, place long, label int")
+    got = {r["doc_id"]: r for r in secrets.scan(make_docs(rows), reviewed).collect()}
+    assert all(r["secret"] == bool(k % 2) for k, r in got.items()) and got[150]["label"] is None and got[1]["label"] == 1
+
+
+def test_secret_candidates_equal_brute_force(spark):
+    import re
+
+    run = re.compile(r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    want = sorted((r["doc_id"], hashlib.sha256(v.encode()).hexdigest()) for r in docs.collect() for v in run.findall(r["text"] or ""))
+    got = entry.queries()["op5_forest_secrets"](spark, SF_SMALL).collect()
+    assert sorted((r["doc_id"], r["value_sha256"]) for r in got) == want
+
+
+def test_a_value_in_very_many_rows_is_met_in_parts(make_docs, monkeypatch):
+    monkeypatch.setattr(secrets, "HOT", 7)
+    rows = [(i, "the token = internationalizing0123456789 of all") for i in range(100)] + [(200, "the internationalizing words of all")]
+    docs = make_docs(rows * 2)
+    found = secrets.describe(secrets.candidates(docs), secrets.dictionary(docs)).collect()
+    assert len(found) == 202 and {r["coverage"] for r in found if r["doc_id"] < 200} == {18 / 28}
+    assert {r["prose"] for r in found if r["doc_id"] < 200} == {1.0}

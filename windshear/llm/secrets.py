@@ -9,15 +9,17 @@ in a word of the text and however many the word has. Each is described by
   corpus (words on at least ``COMMON`` of all documents; by the mean number
   of distinct words this list has at most mean / ``COMMON`` entries);
 * the path: whether the source names tests or examples, or configuration;
-* what stands beside it: a key name, an assignment or quotes before it, words like "example" around it.
-  That is the rest of its word as far as the next run, which is included, and the neighbouring words; of
+* neighbouring words: the share of them that are common words of the corpus, and words like "example" around it.
+  Neighbours are the rest of its word as far as the next run, which is included, and the neighbouring words; of
   these, runs that do not stand next to them see the nearest ``NEAR`` characters, so that words of
   many runs stay linear.
 
 The forest is trained on labelled findings, at most ``SAMPLE_ROWS`` of each class by smallest
-hash. Without given labels, findings are labelled where a rule is
-sure: fixed provider formats and key-assigned random values are secrets; runs without
-any digit, and values introduced as examples, are not. All others are scored only.
+hash. They are given as ``labelled(doc_id, at, place, label)``, as a reviewer leaves them, or else come from signals
+that are no features of the forest: a fixed provider format, or a key name and an assignment before the value,
+stands for a secret; a value in running text, without key name, assignment or quote before it, for none; all others are scored
+only. The forest so learns from value, path and neighbours what the signals say of how a value is introduced, and
+overrules them where they are wrong: a plain word assigned to a key, a random value in a sentence.
 
 Everything is DataFrame operations and Spark's own forest. Defined cases: null,
 empty and blank texts have no candidates; repeated rows are each reported; a null source has
@@ -34,7 +36,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windshear.llm.common import stored
+from windshear.llm.common import small_enough, stored
 
 LEAST = 16
 COMMON = 0.005
@@ -50,7 +52,8 @@ _KEY = r"(?i)(pass|pwd|secret|token|api.?key|apikey|access.?key|auth|cred|bearer
 _EXAMPLE = r"(?i)(example|sample|dummy|placeholder|your|fake|xxxx|test)"
 _PROVIDER = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,}|AIza[0-9A-Za-z_\-]{35}|xox[abpr]-[A-Za-z0-9\-]{10,})$"
 FEATURES = ["length", "digits", "capitals", "distinct", "hex", "transitions", "coverage", "path_test", "path_config",
-            "key_near", "assigned", "quoted", "example_near"]
+            "prose", "example_near"]
+HOT = 1000
 
 
 def _flag(c: Column) -> Column:
@@ -88,23 +91,44 @@ def dictionary(docs: DataFrame, common: float = COMMON) -> DataFrame:
 
 
 def _coverage(rows: DataFrame, words: DataFrame) -> DataFrame:
-    """``(value, coverage)`` per distinct value; the words are bounded (see above) and broadcast."""
-    values = rows.select("value").distinct()
-    runs = values.select("value", F.explode(F.regexp_extract_all(F.lower("value"), F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
-    return (runs.join(F.broadcast(words), "word").groupBy("value")
-            .agg(F.sum(F.length("word")).alias("known")).select("value", (F.col("known") / F.length("value")).alias("coverage")))
+    """``rows`` with ``coverage``, computed once for each distinct value; the words are bounded (see above) and broadcast.
+    A value with over ``HOT`` rows is met in as many parts as it has so many."""
+    values = rows.groupBy("value").agg(F.count("*").alias("k")).withColumn("parts", F.ceil(F.col("k") / HOT))
+    runs = values.select("value", "parts", F.explode(F.regexp_extract_all(F.lower("value"), F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
+    known = (runs.join(F.broadcast(words), "word").groupBy("value", "parts").agg(F.sum(F.length("word")).alias("known"))
+             .select("value", (F.col("known") / F.length("value")).alias("coverage"),
+                     F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")))
+    hot = stored(values.where("parts > 1").select("value", "parts"), "hot")
+    part = F.pmod(F.xxhash64("doc_id", "at", "place"), F.coalesce("parts", F.lit(1)))
+    dealt = rows.join(F.broadcast(hot) if small_enough(hot) else hot, "value", "left").withColumn("part", part).drop("parts")
+    return dealt.join(known, ["value", "part"], "left").drop("part").withColumn("coverage", F.coalesce("coverage", F.lit(0.0)))
+
+
+def _prose(rows: DataFrame, words: DataFrame) -> DataFrame:
+    """``rows`` with ``prose``: of the two words before and the one after, those that hold three letters in a row, the share that are
+    common words. Signs such as that of an assignment are no words and don't show in it."""
+    near = F.array(*[F.regexp_extract(F.lower(F.col(c)), "([a-z]{3,})[^a-z]*$" if c != "after" else "^[^a-z]*([a-z]{3,})", 1)
+                     for c in ("before2", "before", "after")])
+    # The bounded list is met word by word, each join a lookup in it.
+    out = rows.withColumn("_near", near).withColumn("prose", F.lit(0.0))
+    for i in range(3):
+        side = words.select(F.col("word").alias("_word"), F.lit(1.0).alias("_is"))
+        out = (out.join(F.broadcast(side), F.get("_near", F.lit(i)) == F.col("_word"), "left")
+               .withColumn("prose", F.col("prose") + F.coalesce("_is", F.lit(0.0))).drop("_word", "_is"))
+    present = F.size(F.filter("_near", lambda w: w != ""))
+    return out.withColumn("prose", F.col("prose") / F.greatest(present, F.lit(1))).drop("_near")
 
 
 def describe(rows: DataFrame, words: DataFrame) -> DataFrame:
-    """The candidates with the columns of ``FEATURES``."""
+    """The candidates with the columns of ``FEATURES``, and what the rule of labels reads."""
     v, size = F.col("value"), F.length("value")
     changes = r"(?<=[a-z])(?=[A-Z0-9])|(?<=[A-Z])(?=[a-z0-9])|(?<=[0-9])(?=[A-Za-z])"
     around = F.concat_ws(" ", "before2", "before", "lead", "after")
     ahead = F.concat_ws(" ", "before2", "before", "lead")
-    rows = rows.join(_coverage(rows, words), "value", "left")
+    words = stored(words, "dictionary")
+    rows = _prose(_coverage(rows, words), words)
     path = F.coalesce("source", F.lit(""))
-    return (rows.withColumn("coverage", F.coalesce("coverage", F.lit(0.0)))
-            .withColumn("length", size.cast("double"))
+    return (rows.withColumn("length", size.cast("double"))
             .withColumn("digits", F.regexp_count(v, F.lit("[0-9]")) / size)
             .withColumn("capitals", F.regexp_count(v, F.lit("[A-Z]")) / size)
             .withColumn("distinct", F.size(F.array_distinct(F.split(v, ""))) / size)
@@ -119,10 +143,10 @@ def describe(rows: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def rule_label() -> Column:
-    """1 or 0 where a rule is sure, else null."""
-    v = F.col("value")
-    random = (F.col("digits") >= 0.2) & (F.col("key_near") == 1) & (F.col("assigned") == 1)
-    return (F.when(F.col("example_near") == 1, 0).when(v.rlike(_PROVIDER) | random, 1).when(F.col("digits") == 0, 0).cast("double"))
+    """1 or 0 by how a value is introduced or its provider's format, else null; no input of it is a feature."""
+    introduced = (F.col("key_near") == 1) & (F.col("assigned") == 1)
+    plain = (F.col("key_near") == 0) & (F.col("assigned") == 0) & (F.col("quoted") == 0)
+    return F.when(F.col("value").rlike(_PROVIDER) | introduced, 1).when(plain, 0).cast("double")
 
 
 def train(findings: DataFrame, rows: int = SAMPLE_ROWS):
@@ -140,10 +164,18 @@ def train(findings: DataFrame, rows: int = SAMPLE_ROWS):
     return RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(data)
 
 
-def scan(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Every candidate of ``docs(doc_id, text, source)``: ``(doc_id, at, place, value_sha256, length, label, probability, secret)``."""
+def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
+    """Every candidate of ``docs(doc_id, text, source)``: ``(doc_id, at, place, value_sha256, length, label, probability, secret)``.
+
+    ``labelled(doc_id, at, place, label)`` are reviewed findings, 1 or 0; where several rows label one place, the largest counts."""
     rows = stored(candidates(docs), "candidates")
-    found = stored(describe(rows, dictionary(docs)).withColumn("label", rule_label()), "described")
+    described = describe(rows, dictionary(docs))
+    if labelled is None:
+        described = described.withColumn("label", rule_label())
+    else:
+        given = labelled.groupBy("doc_id", "at", "place").agg(F.max("label").cast("double").alias("label"))
+        described = described.join(given, ["doc_id", "at", "place"], "left")
+    found = stored(described, "described")
     forest = train(found)
     if forest is None:
         scored = found.withColumn("probability", F.coalesce("label", F.lit(0.0)))

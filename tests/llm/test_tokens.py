@@ -216,3 +216,17 @@ def test_perfect_hash_is_minimal_and_perfect():
         again = al.PerfectHash.load(*made.dump())
         for h in (made, again):
             assert sorted(h.index(keys).tolist()) == list(range(len(keys)))
+
+
+def test_scratch_is_removed_on_request(spark, make_docs):
+    import os
+
+    from windshear.llm import common
+
+    kept = common._WRITTEN[:]
+    common._WRITTEN.clear()
+    table = common.stored(make_docs([(1, "a")]), "removed")
+    folder = common._WRITTEN[0]
+    assert table.count() == 1 and os.path.isdir(folder)
+    assert common.clear_scratch(spark) == 1 and not os.path.exists(folder)
+    common._WRITTEN.extend(kept)

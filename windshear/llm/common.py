@@ -25,9 +25,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_WRITTEN: list[str] = []
+
+
 def new_scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder name in the shared scratch folder."""
-    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    _WRITTEN.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders that operators of this process wrote; returns how many there were. Results that
+    were not written or collected yet read from them, so a job calls this once it has its results."""
+    conf, removed = spark._jsc.hadoopConfiguration(), 0
+    while _WRITTEN:
+        where = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        removed += bool(where.getFileSystem(conf).delete(where, True))
+    return removed
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -4,9 +4,10 @@ The lexicon holds the terms whose document frequency is between ``RARE`` and
 ``COMMON`` of all documents, a band of inverse document frequencies. As no
 document adds more than its distinct terms to the frequencies, it has at most
 (mean distinct terms) / ``RARE`` entries, however large the corpus; its size is checked
-before it is broadcast. A document's distinct terms in the lexicon are sorted and
+before it is broadcast. A document's sorted distinct terms in the lexicon are
 hashed once for each of 64 random subsets of the lexicon, which keep a quarter to
-1/2048 of it (``RATES``): coarse subsets tell copies apart, fine ones survive edits. A
+1/2048 of it (``RATES``), all at once as sums of term hashes, which depend on the set of terms alone as
+a hash of their sorted sequence does: coarse subsets tell copies apart, fine ones survive edits. A
 fingerprint is the row of these hashes, 8 hex digits each; its likeness to another is
 the share of equal hashes among the subsets in which either document has terms.
 

@@ -26,8 +26,8 @@ from windshear.sources.mart import read_mart, write_mart  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-LO, HI = "2024-01-01 00:00", "2024-02-01 00:00"
-FIRST, LAST = "2024-01-01", "2024-01-31"
+LO, HI = "2024-01-01 00:00", "2034-01-01 00:00"
+FIRST, LAST = "2024-01-01", "2033-12-31"
 
 
 def _sf(path: str) -> float | str:

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 HUB = "N08"
 HUB_TZ = "America/New_York"
-LO, HI = "2024-01-01 00:00", "2024-02-01 00:00"
-DAY_LO, DAY_HI = "2024-01-01 00:00", "2024-01-31 23:59"
+LO, HI = "2024-01-01 00:00", "2034-01-01 00:00"
+DAY_LO, DAY_HI = "2024-01-01 00:00", "2033-12-31 23:59"
 WEEK_LO, WEEK_HI = "2024-01-08 00:00", "2024-01-15 00:00"
 ONE_DAY = "2024-01-10"
 EDGE_LO, EDGE_HI = "2024-01-08 06:30", "2024-01-15 18:45"
@@ -76,7 +76,7 @@ def _ctes(descriptor_every: int | None = None) -> str:
     return f"""
 flight_raw AS (
   SELECT
-    CAST(DATE '2024-01-01' + CAST((l.l_orderkey + 7 * l.l_linenumber) % 30 AS INTEGER) AS VARCHAR) AS FlightDate,
+    CAST(DATE '2024-01-01' + CAST((l.l_orderkey + 7 * l.l_linenumber) % 30 + l.l_orderkey // 15000 * 34 AS INTEGER) AS VARCHAR) AS FlightDate,
     'C' || CAST(l.l_suppkey % 10 AS VARCHAR) AS Reporting_Airline,
     {_code('s.s_nationkey')} AS Origin,
     CASE WHEN {cancelled} THEN NULL WHEN l.l_partkey % 41 = 1 THEN '2400'
@@ -104,7 +104,7 @@ flight_raw AS (
 weather_raw AS (
   SELECT
     CASE WHEN {blank} THEN NULL ELSE
-      strftime(ts, '%Y-%m-%dT%H:') || lpad(CAST(CAST(floor(minute(ts) / 5) * 5 AS BIGINT) AS VARCHAR), 2, '0') || ':00Z'
+      strftime(ts + to_days(CAST(event_id % greatest(1, (SELECT count(*) FROM events) // 10000) * 34 AS INTEGER)), '%Y-%m-%dT%H:') || lpad(CAST(CAST(floor(minute(ts) / 5) * 5 AS BIGINT) AS VARCHAR), 2, '0') || ':00Z'
     END AS Date_Time,
     ({_CARDINALS})[event_id % 17 + 1] AS wind_cardinal_direction_set_1d,
     CAST((event_id * 37) % 360 AS VARCHAR) AS wind_direction_set_1,

@@ -209,3 +209,32 @@ def test_object_store_settings_reach_the_hadoop_configuration(spark):
 def test_versions_of_a_plain_folder(spark, tmp_path):
     assert versions.layers(spark, str(tmp_path)) is None
     assert HubConfig().hub
+
+
+def test_the_mart_grows_with_its_tables():
+    """Ten times the tables (twelve times the hub's flights) make about ten times the mart: periods grow,
+    the rows that share a grid key do not."""
+    import sql_oracle
+    from compare import duck_connection
+
+    n = {}
+    for sf in (SF_CHECK, SF_CHECK.replace("0.01", "0.1")):
+        con = duck_connection(sf)
+        n[sf] = con.execute(sql_oracle._with("SELECT count(*), count(DISTINCT dep_time::DATE) FROM mart")).fetchone()
+    (small, days), (large, more) = n.values()
+    assert 8 * small < large < 14 * small and more > 9 * days
+
+
+@pytest.mark.parametrize("name", ["times_in_hub_zone", "weather_hub_time"])
+def test_times_on_dst_changes_equal_the_oracle(spark, name):
+    """At sf0.1 the periods hold both DST changes of 2024; every time is compared with the oracle's."""
+    import __spark_entry__ as entry
+    from compare import compare, duck_connection
+
+    sf = SF_CHECK.replace("0.01", "0.1")
+    df, sql = entry.queries()[name](spark, sf), entry.oracle_sql()[name]
+    column = "dep_time" if name == "times_in_hub_zone" else "observed_utc"
+    days = {str(r[0]) for r in df.select(F.to_date(column)).distinct().collect()}
+    assert {"2024-03-10", "2024-11-03"} <= days
+    ok, msg = compare(df, duck_connection(sf), sql)
+    assert ok, msg

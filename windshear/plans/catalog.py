@@ -33,10 +33,10 @@ from windshear.sources.sinks import as_json_lines, preview
 
 CFG = fx.FIXTURE_CONFIG
 HUB = fx.FIXTURE_HUB
-# Bounds that cover the whole derived month; the questions still apply them.
-LO, HI = "2024-01-01 00:00", "2024-02-01 00:00"
-FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-31"
-# One week and one day strictly inside it.
+# Bounds that cover all derived periods; the questions still apply them.
+LO, HI = "2024-01-01 00:00", "2034-01-01 00:00"
+FIRST_DAY, LAST_DAY = "2024-01-01", "2033-12-31"
+# One week and one day strictly inside the first.
 WEEK_LO, WEEK_HI = "2024-01-08 00:00", "2024-01-15 00:00"
 ONE_DAY = "2024-01-10"
 # A range that begins and ends within a day.

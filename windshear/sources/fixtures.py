@@ -23,6 +23,9 @@ FIXTURE_HUB_TZ = "America/New_York"
 MISSING_NATION = 24
 FIRST_FLIGHT_DAY = "2024-01-01"
 FLIGHT_DAYS = 30
+# Every so many orders the next period of flights begins, and events are dealt in turn to a period for so many of them: the
+# days grow with the tables, and the rows that share a day or a grid key do not. Ten periods hold both DST changes of 2024.
+PERIOD_ORDERS, PERIOD_EVENTS, PERIOD_DAYS = 15_000, 10_000, 34
 # Time zone by region key 0-4; the hub's region has the hub's zone.
 REGION_ZONES = ("America/Phoenix", "America/Chicago", "America/Denver",
                 "America/New_York", "America/Los_Angeles")
@@ -78,6 +81,17 @@ def _r2(x: Column) -> Column:
     return (F.floor(x * F.lit(100.0) + F.lit(0.5)) / F.lit(100.0)).cast("double")
 
 
+_PERIODS: dict[tuple, int] = {}
+
+
+def _periods(spark: SparkSession, sf_dir: str) -> int:
+    """The number of periods that the events fill, from their number (counted once in a session)."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _PERIODS:
+        _PERIODS[key] = max(1, read_table(spark, sf_dir, "events").count() // PERIOD_EVENTS)
+    return _PERIODS[key]
+
+
 def flight_raw(spark: SparkSession, sf_dir: str, limit_bytes: int = 64 << 20) -> DataFrame:
     """S1 stand-in: one flight per line item (lineitem x orders x customer x supplier)."""
     li = spread(read_table(spark, sf_dir, "lineitem").select(
@@ -96,7 +110,7 @@ def flight_raw(spark: SparkSession, sf_dir: str, limit_bytes: int = 64 << 20) ->
     cancel_code = None
     for rf, code in CANCEL_CODES:
         cancel_code = F.when(flag == rf, F.lit(code)) if cancel_code is None else cancel_code.when(flag == rf, F.lit(code))
-    day = ((F.col("l_orderkey") + 7 * ln) % FLIGHT_DAYS).cast("int")
+    day = ((F.col("l_orderkey") + 7 * ln) % FLIGHT_DAYS + F.floor(F.col("l_orderkey") / PERIOD_ORDERS) * PERIOD_DAYS).cast("int")
     origin = airport_code(F.col("s_nationkey"))
     return j.select(
         _text(F.date_add(F.lit(FIRST_FLIGHT_DAY).cast("date"), day)).alias("FlightDate"),
@@ -129,7 +143,8 @@ def weather_raw(spark: SparkSession, sf_dir: str, *, descriptor_every: int | Non
     eid, ts, v = F.col("event_id"), F.col("ts"), F.col("value")
     # Built from the wall-clock fields, so the text does not depend on the session zone.
     five = F.lpad(_text(F.floor(F.minute(ts) / 5) * 5), 2, "0")
-    stamp = F.concat(_text(F.to_date(ts)), F.lit("T"), F.lpad(_text(F.hour(ts)), 2, "0"), F.lit(":"),
+    date = F.date_add(F.to_date(ts), (eid % _periods(spark, sf_dir) * PERIOD_DAYS).cast("int"))
+    stamp = F.concat(_text(date), F.lit("T"), F.lpad(_text(F.hour(ts)), 2, "0"), F.lit(":"),
                      five, F.lit(":00Z"))
     if descriptor_every:
         stamp = F.when(eid % descriptor_every != 0, stamp)

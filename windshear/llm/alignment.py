@@ -20,7 +20,9 @@ empty digest); repeated rows each count as a document; an empty table gives no r
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windshear.llm.common import arrow_schema, map_rows, share, shuffle_parts, stored
-from windshear.llm.transducer import byte_symbols
+from windshear.llm.transducer import BLANKS, byte_symbols
 
 BUCKET = 1 << 16
 CHUNK = 2_000_000
 PART_ROWS = 1_000_000
 PENDING = 500_000
 SHIFT = 32
+RUN = 500
+BLANK_RUN = re.compile(rf"\s{{{RUN}}}")
 ROOM = 2  # slots for each key of a level
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -49,6 +53,7 @@ class Codecs:
 
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
+        self.quick = _by_rank(a_path)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         back = {c: i for i, c in enumerate(byte_symbols())}
         self.a_bytes = [bytes(back[c] for c in t) if all(c in back for c in t) else t.encode()
@@ -56,16 +61,40 @@ class Codecs:
         self.b_bytes = [bytes([int(self.b.id_to_piece(i)[3:-1], 16)]) if self.b.is_byte(i)
                         else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(self.b.vocab_size())]
 
-    def encode(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
-        """The ids of both; empty for texts that one of them does not reproduce."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t if t else "" for t in texts], add_special_tokens=False)]
-        out = []
-        for t, x in zip(texts, a):
-            y = self.b.encode(t, num_threads=1) if t else []
-            want = (" " + t).encode() if t else b""
-            same = b"".join([self.a_bytes[i] for i in x]) == want == b"".join([self.b_bytes[i] for i in y])
-            out.append((x, y) if t and same else ([], []))
-        return out
+    def _a_ids(self, text: str) -> list[int]:
+        if self.quick and max(map(len, text.split()), default=0) < RUN and not BLANK_RUN.search(text):
+            return self.quick.encode_ordinary(text)
+        return self.a.encode(text, add_special_tokens=False).ids
+
+    def encode(self, text: str | None) -> tuple[list[int], list[int]]:
+        """The ids of both; empty for a text that one of them does not reproduce."""
+        if not text:
+            return [], []
+        x, y = self._a_ids(" " + text), self.b.encode(text)
+        same = b"".join([self.a_bytes[i] for i in x]) == (" " + text).encode() == b"".join([self.b_bytes[i] for i in y])
+        return (x, y) if same else ([], [])
+
+
+def _by_rank(path: str):
+    """The same byte-level vocabulary in the quicker library that merges by token rank, or None.
+
+    Both give the same ids where merge number i makes token 256 + i: a token's rank is then the rank of
+    the merge that makes it. (Were (a, bc) to make a token that the file makes of (ab, c), bc would have to be merged beside a
+    before ab; then the file could never make it either.) That library slows down with the square of a piece's
+    length, so texts with a run of ``RUN`` signs or blanks are left to the other one.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    vocab, cut = spec["model"]["vocab"], spec.get("pre_tokenizer") or {}
+    made = ["".join(m) if not isinstance(m, str) else m.replace(" ", "") for m in spec["model"]["merges"]]
+    if (spec.get("normalizer") or cut.get("type") != "ByteLevel" or not cut["use_regex"] or cut["add_prefix_space"]
+            or [vocab.get(t) for t in made] != list(range(256, 256 + len(made))) or len(vocab) != 256 + len(made)):
+        return None
+    back = {c: i for i, c in enumerate(byte_symbols())}
+    ranks = {bytes(back[c] for c in t): i for t, i in vocab.items()}
+    return tiktoken.Encoding("a", pat_str=BLANKS, mergeable_ranks=ranks, special_tokens={})
 
 
 def links(a: np.ndarray, b: np.ndarray, a_size: np.ndarray, b_size: np.ndarray):
@@ -136,7 +165,7 @@ def tokens(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(cols):
         if not state:
             state.append(Codecs(a_path, b_path))
-        got = state[0].encode(cols["text"])
+        got = [state[0].encode(t) for t in cols["text"]]
         return {"doc_id": cols["doc_id"], "tkey": cols["tkey"], "a": [_pack(x) for x, _ in got], "b": [_pack(y) for _, y in got]}
 
     return map_rows(docs.select("doc_id", "text", F.xxhash64("text").alias("tkey")), run,
@@ -357,9 +386,9 @@ def _sum_up(held: list[np.ndarray], here: Lookup, top: np.ndarray, buckets: int,
     counts[mine] = here.find(pairs[mine], bucket[mine])
     best = mine & (counts == top[pairs >> SHIFT])
     row = np.repeat(np.arange(len(held)), [len(x) for x in held])
-    sums = np.zeros(len(held), np.int64)
-    np.add.at(sums, row, counts[at])
-    out["count_sum"].extend(sums.tolist())
+    total = np.concatenate([[0], np.cumsum(counts[at])])
+    ends = np.cumsum([len(x) for x in held])
+    out["count_sum"].extend((total[ends] - total[ends - [len(x) for x in held]]).tolist())
     out["n_best"].extend(np.bincount(row[best[at]], minlength=len(held)).tolist())
 
 

@@ -324,6 +324,12 @@ def test_numerals_are_no_letters_and_marks_belong_to_words(make_docs):
     assert model.predict("हिन्दी")[0] == "hi"
 
 
+def test_words_of_plain_ascii_and_other_texts():
+    assert langid.words_of("The CAT, 2 dogs_and a-z") == ["the", "cat", "dogs", "and", "a", "z"]
+    assert langid.words_of("Über the ÉTÉ 1") == ["über", "the", "été"]
+    assert langid.words_of("12 _ !") == langid.words_of("") == []
+
+
 def test_a_hundred_languages_are_held_sparse(make_docs):
     rnd = random.Random(4)
     words = {f"l{g:03}": ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randrange(3, 9))) for _ in range(40)] for g in range(100)}

@@ -46,7 +46,7 @@ ASCII_WORD = re.compile("[a-z]+")
 
 def words_of(text: str) -> list[str]:
     """Runs of letters with their marks, in lower case. Letters are those of Unicode's category L: numerals are none."""
-    return ASCII_words_of(text) if text.isascii() else words_of(text)
+    return (ASCII_WORD if text.isascii() else WORD).findall(text.lower())
 
 
 @dataclass

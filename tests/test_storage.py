@@ -135,6 +135,22 @@ def test_rollups_equal_the_mart_and_read_edge_days_only(spark, mart, tmp_path, d
     assert not rollups.edges(spark, path, column, midnight, midnight + day)
 
 
+def test_the_mart_is_listed_once_for_zone_map_and_rollups(spark, mart, tmp_path, monkeypatch):
+    """Its day folders grow with the mart: neither the zone map nor each rollup may list them again."""
+    reader, read, cached = type(spark.read), [], spark._jsparkSession.sharedState().cacheManager().numCachedEntries()
+    parquet = reader.parquet
+    monkeypatch.setattr(reader, "parquet", lambda self, *paths, **kw: (read.extend(paths), parquet(self, *paths, **kw))[1])
+    path = str(tmp_path / "m")
+    folder = rollups.publish_with_rollups(mart, path)
+    assert read == [folder]
+    read.clear()
+    rollups.write_rollups(spark, folder)
+    assert read == [folder]
+    monkeypatch.undo()
+    assert rows(rollups.wind_rose(spark, path, "arrival", LO, HI)) == rows(queries.wind_rose(mart, "arrival", LO, HI))
+    assert spark._jsparkSession.sharedState().cacheManager().numCachedEntries() == cached
+
+
 def test_malformed_rows_are_quarantined(spark, tmp_path):
     one, two = tmp_path / "one.csv", tmp_path / "two.csv"
     one.write_text("iata_code,timezone\nN01,America/Denver\nN02\nN03,America/Chicago,x\n\"N,04\",UTC\n")

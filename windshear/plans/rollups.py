@@ -24,6 +24,7 @@ from windshear.plans.queries import finish_delay_count, finish_wind_rose
 from windshear.sources.mart import DAY_COLUMN, publish_mart, read_layers, read_mart, read_range
 
 DAY = "day"
+DIRECTIONS = ("departure", "arrival")
 COUNTS = {"wind_rose": ["count"], "delays": ["n"], "interruptions": ["dry_delay", "wet_delay", "dry_cncl", "wet_cncl"]}
 
 
@@ -59,17 +60,32 @@ def rollup_path(folder: str, question: str, direction: str) -> str:
     return f"{folder.rstrip('/')}.rollups/{direction}/{question}"
 
 
-def write_rollups(spark: SparkSession, folder: str) -> None:
-    """The six rollups of a mart folder, sorted by day."""
-    for direction in ("departure", "arrival"):
-        for question in COUNTS:
-            part = partial_counts(read_mart(spark, folder), question, direction)
-            part.sortWithinPartitions(DAY).write.mode("overwrite").parquet(rollup_path(folder, question, direction))
+def read_columns() -> list[str]:
+    """The columns of a stored mart that the rollups read."""
+    roles = [role_columns(direction) for direction in DIRECTIONS]
+    own = [name for c in roles for name in (c.iata, c.long, c.lat, c.time, c.del15)]
+    return [*own, "card_dir", "binned_wind", "crosswind_lim", "wthr_code", "cncl_code", DAY_COLUMN]
+
+
+def write_rollups(spark: SparkSession, folder: str, stored: DataFrame | None = None) -> None:
+    """The six rollups of a mart folder, sorted by day; ``stored``: its rows, where they were read before.
+
+    The days of a mart grow with it, and each has its folder: these are listed and read once for all six.
+    The columns read stay in memory, on disk where they do not fit, until the rollups are written.
+    """
+    rows = (read_mart(spark, folder) if stored is None else stored).select(*read_columns()).persist()
+    try:
+        for direction in DIRECTIONS:
+            for question in COUNTS:
+                part = partial_counts(rows, question, direction)
+                part.sortWithinPartitions(DAY).write.mode("overwrite").parquet(rollup_path(folder, question, direction))
+    finally:
+        rows.unpersist()
 
 
 def publish_with_rollups(mart: DataFrame, path: str, *, replaces: list[str | None] | None = None) -> str:
     """Publish a mart, or some days of it, with zone map and rollups in one swap."""
-    return publish_mart(mart, path, replaces=replaces, also=lambda folder: write_rollups(mart.sparkSession, folder))
+    return publish_mart(mart, path, replaces=replaces, from_rows=lambda folder, rows: write_rollups(mart.sparkSession, folder, rows))
 
 
 def whole_days(lo: dt.datetime, hi: dt.datetime) -> tuple[dt.datetime, dt.datetime]:

@@ -43,14 +43,18 @@ def write_mart(mart: DataFrame, path: str, *, mode: str = "overwrite") -> None:
 
 
 def publish_mart(mart: DataFrame, path: str, *, replaces: list[str | None] | None = None,
-                 also: Callable[[str], None] | None = None) -> str:
+                 also: Callable[[str], None] | None = None, from_rows: Callable[[str, DataFrame], None] | None = None) -> str:
     """Write the mart and its zone map as a new version, then swap it in (``versions.publish``).
-    ``also`` writes what else belongs to the version, given its folder."""
+    ``also`` writes what else belongs to the version, given its folder; ``from_rows`` as well, given the folder
+    and its stored rows: the day folders, which grow with the mart, are listed once for it and the zone map."""
     spark = mart.sparkSession
 
     def write(folder: str) -> None:
         write_mart(mart, folder)
-        write_zone_map(spark, folder)
+        rows = spark.read.schema(STORED).parquet(folder)
+        write_zone_map(spark, folder, rows)
+        if from_rows:
+            from_rows(folder, rows)
         if also:
             also(folder)
 
@@ -89,10 +93,11 @@ def zone_path(folder: str) -> str:
     return f"{folder.rstrip('/')}.zones"
 
 
-def write_zone_map(spark: SparkSession, folder: str) -> None:
+def write_zone_map(spark: SparkSession, folder: str, stored: DataFrame | None = None) -> None:
     """One row for each file of a mart folder: least and greatest departure and arrival
     time, and the days on which they fall (as many as a file has days, whatever its rows)."""
-    rows = spark.read.schema(STORED).parquet(folder).select("dep_time", "arr_time", F.col("_metadata.file_path").alias("file"))
+    stored = spark.read.schema(STORED).parquet(folder) if stored is None else stored
+    rows = stored.select("dep_time", "arr_time", F.col("_metadata.file_path").alias("file"))
     ranges = [f(c).alias(f"{c}_{n}") for c in ("dep_time", "arr_time")
               for f, n in ((F.min, "min"), (F.max, "max"), (lambda x: F.collect_set(F.to_date(x)), "days"))]
     rows.groupBy("file").agg(*ranges).write.mode("overwrite").parquet(zone_path(folder))

@@ -194,6 +194,33 @@ def test_repeated_codes_keep_the_shuffle_join(spark, tmp_path):
     assert not dimension_fits(many, much, airport_zone_dim(many, much), limit)
 
 
+def test_many_short_rows_in_a_small_file_are_not_broadcast(spark, tmp_path):
+    """Repeated values compress well: the file is far smaller than the rows, whose values are counted."""
+    from windshear.operators.joins import broadcast_if_counted, broadcast_if_small
+
+    limit = 256 << 10
+
+    def weather(n):
+        at = F.timestamp_seconds(F.col("id") * 300).cast("timestamp_ntz")
+        spark.range(0, n, 1, 1).select(at.alias("time_interval"), F.lit("N").alias("card_dir"), F.lit("00-05").alias("binned_wind"),
+                                       F.lit(1).cast("long").alias("n")).write.parquet(f"{tmp_path}/{n}/v-1/weather")
+        spark.range(0, 10, 1, 1).select(at.alias("time_interval")).write.parquet(f"{tmp_path}/{n}/v-1/flights")
+        with open(f"{tmp_path}/{n}/{versions.POINTER}", "w") as f:
+            f.write('{"layers": [{"folder": "v-1", "without": []}]}')
+        return spark.read.parquet(f"{tmp_path}/{n}/v-1/weather")
+
+    def hinted(df):
+        return "ResolvedHint (strategy=broadcast)" in df._jdf.queryExecution().analyzed().toString()
+
+    few, many = weather(100), weather(20_000)
+    assert hinted(broadcast_if_small(many, limit)) and not hinted(broadcast_if_counted(many, limit))
+    assert hinted(broadcast_if_counted(few, limit))
+    for n in (100, 20_000):
+        got = factored.read_weighted(spark, f"{tmp_path}/{n}", ["card_dir", "binned_wind"], limit)
+        assert hinted(got) == (n == 100)
+        assert got.agg(F.count("*"), F.sum("n_obs"), F.count("card_dir")).first() == (10, 10, 10)
+
+
 def test_a_column_called_like_the_weight_is_no_weight(spark):
     df = spark.createDataFrame([("N", "00-05", 7), ("N", "00-05", 7)], "card_dir string, binned_wind string, n_obs long")
     assert aggregates.wind_rose_counts(df).first()["count"] == 2

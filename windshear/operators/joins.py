@@ -76,6 +76,18 @@ def counted_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(total.cast("long")), F.lit(0))).first()[0]
 
 
+def broadcast_if_counted(df: DataFrame, limit_bytes: int) -> DataFrame:
+    """Hint a broadcast only when the planned size and the values themselves, counted by a job, are under ``limit_bytes``.
+
+    The planned size stems from compressed files: the hash table of many short rows takes many times that in every
+    task's executor. What is too large by its planned size is not counted.
+    """
+    size = estimated_size_bytes(df)
+    if size is not None and size <= limit_bytes and counted_bytes(df) <= limit_bytes:
+        return F.broadcast(df)
+    return df
+
+
 def dimension_fits(airports: DataFrame, zones: DataFrame, dim: DataFrame, limit_bytes: int) -> bool:
     """Whether the joined dimension is at most ``limit_bytes``, counted.
 
@@ -170,6 +182,6 @@ def attach_weighted_weather(flights: DataFrame, weather: DataFrame, attrs: Seque
     """J1 without the fan-out: each flight meets each distinct weather tuple once,
     carrying how many observations it stands for; a flight with no weather
     keeps weight 1, exactly as the left join keeps it once."""
-    w = broadcast_if_small(weighted_weather(weather, attrs), limit_bytes)
+    w = broadcast_if_counted(weighted_weather(weather, attrs), limit_bytes)
     joined = flights.join(w, on="time_interval", how="left")
     return joined.withColumn(WEIGHT, F.coalesce(F.col(WEIGHT), F.lit(1).cast("long")))

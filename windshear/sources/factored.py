@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windshear.config import HubConfig
-from windshear.operators.joins import WEIGHT, broadcast_if_small
+from windshear.operators.joins import WEIGHT, broadcast_if_counted
 from windshear.operators.projections import flight_side_projection
 from windshear.plans import etl
 from windshear.schemas import MART
@@ -63,5 +63,5 @@ def read_weighted(spark: SparkSession, path: str, attrs: Sequence[str], limit_by
     of mart rows it stands for (``n_obs``); the questions add these up (``weight=WEIGHT``)."""
     flights, weather = read_factors(spark, path)
     groups = weather.groupBy(KEY, *attrs).agg(F.sum("n").alias(WEIGHT))
-    joined = flights.join(broadcast_if_small(groups, limit_bytes), on=KEY, how="left")
+    joined = flights.join(broadcast_if_counted(groups, limit_bytes), on=KEY, how="left")
     return joined.withColumn(WEIGHT, F.coalesce(F.col(WEIGHT), F.lit(1).cast("long"))).drop(KEY)

@@ -120,3 +120,29 @@ def test_long_disguises_take_linear_time():
                  "a@b.cc jo​e@b.cc " * 4_000, "1 dot " * 20_000, "one dot " * 20_000):
         pii.spans(text)
     assert time.time() - began < 20
+
+
+def test_batches_are_handled_in_slices():
+    """A task holds the texts of one slice beside the batch, not a second and a third copy of the whole batch."""
+    import pyarrow as pa
+
+    from windshear.llm import toxicity
+
+    class Docs:
+        columns, schema = ["doc_id", "text", "n_chars"], None
+        sparkSession = type("S", (), {"sparkContext": type("C", (), {"broadcast": staticmethod(lambda v: type("B", (), {"value": v}))})})
+
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, fn, schema):
+            return fn
+
+    texts = [None if i % 7 == 0 else f"{i} a@b.cd" for i in range(1300)]
+    batch = pa.record_batch({"doc_id": list(range(1300)), "text": texts, "n_chars": [t and len(t) for t in texts]})
+    out = list(pii.redact(Docs())(iter([batch, batch.slice(0, 0)])))
+    assert max(b.num_rows for b in out) <= 512
+    assert [x for b in out for x in b.column("text").to_pylist()] == [pii.redacted(t) for t in texts]
+    assert [x for b in out for x in b.column("n_chars").to_pylist()] == [t and len(pii.redacted(t)) for t in texts]
+    kept = list(toxicity.keep_clean(Docs(), toxicity.Model())(iter([batch])))
+    assert max(b.num_rows for b in kept) <= 512 and sum(b.num_rows for b in kept) == 1300

@@ -82,6 +82,14 @@ def held_out(doc_id: Column | str) -> Column:
     return (F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % 4) == 2
 
 
+def sliced(batches: Iterator[pa.RecordBatch], chunk: int = 512) -> Iterator[pa.RecordBatch]:
+    """Every row of the batches in their order, at most ``chunk`` rows at a time, so that a task holds the Python values and
+    the new columns of that many rows beside the batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, chunk):
+            yield batch.slice(at, chunk)
+
+
 def map_rows(df: DataFrame, fn: Callable[[dict[str, list], Callable[[str], list]], dict[str, list]],
              schema: str, inputs: list[str], chunk: int = 512) -> DataFrame:
     """Apply ``fn`` to column lists of at most ``chunk`` rows at a time.
@@ -92,12 +100,10 @@ def map_rows(df: DataFrame, fn: Callable[[dict[str, list], Callable[[str], list]
     arrow = arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, chunk):
-                part = batch.slice(at, chunk)
-                cols = {c: part.column(c).to_pylist() for c in inputs}
-                out = fn(cols)
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+        for part in sliced(batches, chunk):
+            cols = {c: part.column(c).to_pylist() for c in inputs}
+            out = fn(cols)
+            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
 
     return df.select(*inputs).mapInArrow(run, schema)
 

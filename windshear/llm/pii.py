@@ -35,7 +35,7 @@ from bisect import bisect_right
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from windshear.llm.common import map_rows
+from windshear.llm.common import map_rows, sliced
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_SPELLED = 3
@@ -332,7 +332,7 @@ def redact(docs: DataFrame) -> DataFrame:
     names = docs.columns
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             old = batch.column("text").to_pylist()
             new = [redacted(t) for t in old]
             cols = []

@@ -198,10 +198,9 @@ def _matches(docs: DataFrame, items: list[tuple], size: int, keep_only: bool) ->
 
     def shards(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
             held, at, n = [], 0, 0
-            for i, t in enumerate(texts):
-                held.append(words(t))
+            for i, t in enumerate(batch.column("text")):
+                held.append(words(t.as_py()))
                 n += len(held[-1])
                 if n >= SHARD_WORDS:
                     yield batch.slice(at, i + 1 - at), held

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windshear.llm.common import held_out, map_rows, share
+from windshear.llm.common import held_out, map_rows, share, sliced
 
 SAMPLE_ROWS = 20_000
 PREFIXES = (6, 5, 4)
@@ -280,7 +280,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFra
 
     def run(batches):
         m = get()
-        for batch in batches:
+        for batch in sliced(batches):
             keep = [m.probability(m.evidence(t, memo)[0]) < threshold for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
